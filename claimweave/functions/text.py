@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimweave.functions import lexicons
 
@@ -31,12 +32,21 @@ MAY_CHANGE_UNDER_NFKC = (
 )
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    An expression named inside a lambda is computed again for every element; passed through
+    a one-element array it becomes a variable of an outer lambda instead.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def text_or_blank(c: Column) -> Column:
     """Null becomes the empty string, anything else its string form."""
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
 
@@ -120,12 +130,21 @@ def entity_variants(entity: Column) -> Column:
 
 
 def word_ngrams(words: Column, n: int) -> Column:
-    """All runs of ``n`` neighbouring words, joined by a space."""
-    count = F.size(words)
-    starts = F.sequence(F.lit(1), F.greatest(count - (n - 1), F.lit(1)))
-    return F.when(
-        count >= n, F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-    ).otherwise(F.array().cast("array<string>"))
+    """All runs of ``n`` neighbouring words, joined by a space.
+
+    Reads the elements by position: slicing would copy the whole array for every run.
+    """
+
+    def runs(w):
+        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0)))
+        run = F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(w, i + j) for j in range(n)]))
+        return F.when(F.size(w) >= n, run).otherwise(F.array().cast("array<string>"))
+
+    return bind(words, runs)
+
+
+def _longer_than(least: int):
+    return lambda p: F.length(p) >= least
 
 
 def important_phrases(normalized: Column, limit: int = 15) -> Column:
@@ -136,10 +155,11 @@ def important_phrases(normalized: Column, limit: int = 15) -> Column:
     # (words per phrase, least number of characters)
     sizes = [(4, 12), (3, 10), (2, 8), (1, 7)]
 
-    def grams(n, least):
-        return F.filter(word_ngrams(words, n), lambda p: F.length(p) >= least)
+    def phrases(w):
+        grams = [F.filter(word_ngrams(w, n), _longer_than(m)) for n, m in sizes]
+        return F.slice(F.array_distinct(F.concat(*grams)), 1, limit)
 
-    return F.slice(F.array_distinct(F.concat(*[grams(n, m) for n, m in sizes])), 1, limit)
+    return bind(words, phrases)
 
 
 def search_text(title: Column, content: Column) -> Column:
@@ -170,13 +190,13 @@ def snippet(c: Column, chars: int) -> Column:
 def contains_any(text: Column, terms) -> Column:
     """Whether any term occurs; ``terms`` is a list of words or an array column."""
     array = terms if isinstance(terms, Column) else words_array(terms)
-    return F.exists(array, lambda t: F.contains(text, t))
+    return bind(text, lambda x: F.exists(array, lambda t: F.contains(x, t)))
 
 
 def count_terms(text: Column, terms) -> Column:
     """Number of terms that occur; ``terms`` is a list of words or an array column."""
     array = terms if isinstance(terms, Column) else words_array(terms)
-    return F.size(F.filter(array, lambda t: F.contains(text, t)))
+    return F.size(bind(text, lambda x: F.filter(array, lambda t: F.contains(x, t))))
 
 
 def digits(c: Column) -> Column:

@@ -15,9 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimweave.functions.text import INDEX_TOKEN, search_text, tokens, word_ngrams
+from claimweave.functions.text import INDEX_TOKEN, bind, search_text, tokens, word_ngrams
 from claimweave.scale import (
     all_salts,
+    materialize,
     salt_of,
     salts_for,
     with_row_index,
@@ -45,14 +46,17 @@ ANALYZERS = {
 def word_terms(text: Column) -> Column:
     """One- and two-word terms; a word is a run of two or more word characters."""
     words = tokens(F.lower(text), INDEX_TOKEN)
-    return F.concat(words, word_ngrams(words, 2))
+    return bind(words, lambda w: F.concat(w, word_ngrams(w, 2)))
 
 
 def char_terms(text: Column) -> Column:
     """Runs of three to five characters over the whole lower-cased text, spaces included."""
     squeezed = F.regexp_replace(F.lower(text), r"(?U)[\s\x1c-\x1f]{2,}", " ")
-    return F.concat(
-        *[F.regexp_extract_all(squeezed, F.lit("(?s)(?=(.{%d}))" % n), F.lit(1)) for n in (3, 4, 5)]
+    return bind(
+        squeezed,
+        lambda t: F.concat(
+            *[F.regexp_extract_all(t, F.lit("(?s)(?=(.{%d}))" % n), F.lit(1)) for n in (3, 4, 5)]
+        ),
     )
 
 
@@ -67,15 +71,25 @@ def term_counts(texts: DataFrame, channel: str, key: str = "article_id", text: s
 
 def search_texts(articles: DataFrame) -> DataFrame:
     text = search_text(F.col("title"), F.col("content"))
-    return articles.select("article_id", text.alias("search_text")).repartition("article_id")
+    return articles.select("article_id", text.alias("search_text"))
+
+
+def hashed(articles: DataFrame) -> DataFrame:
+    """Articles hashed on their id.
+
+    The number of partitions is explicit: taken apart, texts grow a hundredfold, so runtime
+    coalescing by the size of the texts would leave far too few tasks.
+    """
+    n = int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return articles.repartition(n, "article_id")
 
 
 def word_postings(articles: DataFrame) -> DataFrame:
-    return term_counts(search_texts(articles), WORD)
+    return term_counts(search_texts(hashed(articles)), WORD)
 
 
 def char_postings(articles: DataFrame) -> DataFrame:
-    return term_counts(search_texts(articles), CHAR)
+    return term_counts(search_texts(hashed(articles)), CHAR)
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:
@@ -109,8 +123,13 @@ def weigh_terms(terms: DataFrame, n_articles: int) -> DataFrame:
 def fit_vocabulary(postings: DataFrame, n_articles: int, channel: str) -> DataFrame:
     """(term, df, total, idf, salts): pruned, capped, weighed."""
     analyzer = ANALYZERS[channel]
-    kept = prune_df(document_frequency(postings), n_articles, analyzer)
-    return weigh_terms(cap_vocabulary(kept, analyzer.max_terms), n_articles)
+    kept = materialize(
+        prune_df(document_frequency(postings), n_articles, analyzer), f"terms_{channel}"
+    )
+    # the count comes from file metadata; ranking is needed only beyond the cap
+    if kept.count() > analyzer.max_terms:
+        kept = cap_vocabulary(kept, analyzer.max_terms)
+    return weigh_terms(kept, n_articles)
 
 
 def tfidf(counts: DataFrame, vocabulary: DataFrame, key: str = "article_id") -> DataFrame:

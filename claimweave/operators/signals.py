@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 
 from claimweave.functions.lexicons import RETRIEVAL_FACT_CHECK_TERMS
 from claimweave.functions.numeric import round4, safe_ratio
-from claimweave.functions.text import contains_any, count_terms
+from claimweave.functions.text import bind, contains_any, count_terms
 
 
 def matched(entities: Column, text: Column) -> Column:
     """Entities (structs of name and variants) with a variant in the text."""
-    return F.filter(entities, lambda e: contains_any(text, e["variants"]))
+    return bind(
+        text,
+        lambda x: F.filter(
+            entities, lambda e: F.exists(e["variants"], lambda v: F.contains(x, v))
+        ),
+    )
 
 
 def matched_entities(entities: Column, text: Column) -> Column:
@@ -49,12 +54,16 @@ def entity_cooccurrence(hits: Column, total: Column) -> Column:
 def number_date_match(numbers: Column, text: Column, text_digits: Column) -> Column:
     """Share of numbers found literally, or as a run in all digits of the text."""
 
-    def found(n):
-        literal = F.contains(text, n["value"])
-        as_digits = (F.length(n["digits"]) >= 2) & F.contains(text_digits, n["digits"])
+    def found(n, both):
+        literal = F.contains(both["text"], n["value"])
+        as_digits = (F.length(n["digits"]) >= 2) & F.contains(both["digits"], n["digits"])
         return (n["value"] != "") & (literal | as_digits)
 
-    return safe_ratio(F.size(F.filter(numbers, found)), F.size(numbers))
+    hits = bind(
+        F.struct(text.alias("text"), text_digits.alias("digits")),
+        lambda both: F.filter(numbers, lambda n: found(n, both)),
+    )
+    return safe_ratio(F.size(hits), F.size(numbers))
 
 
 def phrase_hits(phrases: Column, title: Column, content: Column) -> Column:

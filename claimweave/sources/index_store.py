@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from claimweave.functions.text import digits, fold, nfkc, normalize_text, text_or_blank
 from claimweave.operators import lexical
 from claimweave.operators.lexical import CHAR, WORD
-from claimweave.scale import materialize
 from claimweave.schema import ARTICLE_COLUMNS, require_columns
 
 BUCKETED = {
@@ -26,6 +25,8 @@ BUCKETED = {
     "postings_word": "term",
     "postings_char": "term",
 }
+COUNTS = {"counts_word": "article_id", "counts_char": "article_id"}
+SORTED = {**BUCKETED, **COUNTS}
 PLAIN = ["vocabulary_word", "vocabulary_char", "config"]
 
 
@@ -82,14 +83,17 @@ def article_windows(articles: DataFrame) -> DataFrame:
     return cut.withColumn("event_digits", digits(F.col("event_w")))
 
 
-def _save_bucketed(df: DataFrame, directory: str, name: str, buckets: int) -> None:
+def _save_bucketed(
+    df: DataFrame, directory: str, name: str, buckets: int, partitioned: bool = False
+) -> None:
+    """``partitioned``: the rows already are hashed on the article into ``buckets`` parts."""
     table = f"claimweave_{name}_{uuid.uuid4().hex}"
+    hashed = df if partitioned else df.repartition(buckets, "article_id")
     (
-        df.repartition(buckets, "article_id")
-        .write.format("parquet")
+        hashed.write.format("parquet")
         .option("path", f"{directory}/{name}")
         .bucketBy(buckets, "article_id")
-        .sortBy(BUCKETED[name])
+        .sortBy(SORTED[name])
         .mode("overwrite")
         .saveAsTable(table)
     )
@@ -105,7 +109,7 @@ def _load_bucketed(spark: SparkSession, directory: str, name: str, buckets: int)
     )
     spark.sql(
         f"CREATE TABLE {table} ({columns}) USING parquet "
-        f"CLUSTERED BY (article_id) SORTED BY ({BUCKETED[name]}) INTO {buckets} BUCKETS "
+        f"CLUSTERED BY (article_id) SORTED BY ({SORTED[name]}) INTO {buckets} BUCKETS "
         f"LOCATION '{directory}/{name}'"
     )
     return spark.table(table)
@@ -117,9 +121,10 @@ def save_index(
     """Build and write the whole index. Choose ``buckets`` near postings bytes / 512 MB."""
     spark = articles.sparkSession
     require_columns(articles)
-    articles = articles.select(*ARTICLE_COLUMNS)
-    _save_bucketed(articles, directory, "articles", buckets)
-    _save_bucketed(article_windows(articles), directory, "windows", buckets)
+    _save_bucketed(articles.select(*ARTICLE_COLUMNS), directory, "articles", buckets)
+    # from here on every step reads the hashed copy and keeps its partitioning
+    articles = _load_bucketed(spark, directory, "articles", buckets)
+    _save_bucketed(article_windows(articles), directory, "windows", buckets, True)
     vector_columns = vectors.select(
         F.col("article_id").cast("bigint").alias("article_id"), F.col("embedding").cast("array<float>")
     )
@@ -127,13 +132,13 @@ def save_index(
     n = articles.count()
     texts = lexical.search_texts(articles)
     for channel in (WORD, CHAR):
-        counts = materialize(lexical.term_counts(texts, channel), f"counts_{channel}")
+        counts_name = f"counts_{channel}"
+        _save_bucketed(lexical.term_counts(texts, channel), directory, counts_name, buckets, True)
+        counts = _load_bucketed(spark, directory, counts_name, buckets)
         path = f"{directory}/vocabulary_{channel}"
         lexical.fit_vocabulary(counts, n, channel).write.mode("overwrite").parquet(path)
-        vocabulary = spark.read.parquet(path)
-        # hashed before weighting, so that the norm and the bucketed write reuse it
-        weighted = lexical.tfidf(counts.repartition(buckets, "article_id"), vocabulary)
-        _save_bucketed(weighted, directory, f"postings_{channel}", buckets)
+        weighted = lexical.tfidf(counts, spark.read.parquet(path))
+        _save_bucketed(weighted, directory, f"postings_{channel}", buckets, True)
     first = vectors.select(F.size("embedding").alias("d")).first()
     settings = {
         "document_count": n,

@@ -60,6 +60,9 @@ def write_articles(df: DataFrame, path: str, parquet_path: str | None = None) ->
         df.write.mode("overwrite")
         .option("header", "true")
         .option("quoteAll", "true")
+        # the writer trims by default
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .option("quote", '"')
         .option("escape", '"')
         .option("encoding", "UTF-8")
@@ -79,7 +82,9 @@ def write_evaluation(
     rows: DataFrame, confusion: DataFrame, metrics: DataFrame, directory: str
 ) -> None:
     """Per-article rows and confusion matrix as CSV, the metrics record as JSON."""
-    csv_rows = rows.write.mode("overwrite").option("header", "true").option("escape", '"')
+    csv_rows = rows.write.mode("overwrite").options(
+        header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    )
     csv_rows.csv(f"{directory}/evaluation_results")
     confusion.coalesce(1).write.mode("overwrite").option("header", "true").csv(
         f"{directory}/confusion_matrix"
