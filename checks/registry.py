@@ -444,7 +444,7 @@ for _channel in ("word", "char"):
         f"SELECT article_id, count(*) AS terms, round(sum(w), 6) AS total_weight, round(max(w), 8) AS top_weight, round(sum(w * w), 8) AS norm FROM {_channel}_post GROUP BY article_id", f"{_channel}_post"))
     def _(spark, d, channel=_channel):
         w = F.col("w")
-        return _index(spark, d).postings(channel).groupBy("article_id").agg(
+        return _index(spark, d).channel_postings(channel).groupBy("article_id").agg(
             F.count("*").alias("terms"), F.round(F.sum(w), 6).alias("total_weight"),
             F.round(F.max(w), 8).alias("top_weight"), F.round(F.sum(w * w), 8).alias("norm"))
 

@@ -32,7 +32,7 @@ from claimweave.functions.text import (
 from claimweave.operators import lexical, signals
 from claimweave.operators.lexical import CHAR, WORD
 from claimweave.operators.vectors import SCORE_DECIMALS, best_scores, dot
-from claimweave.scale import BROADCAST_BYTES, Measured, maybe_broadcast
+from claimweave.scale import BROADCAST_BYTES, Measured, materialize, maybe_broadcast
 from claimweave.sources.index_store import SearchIndex
 
 try:
@@ -291,14 +291,27 @@ def word_scores(prepared: DataFrame, index: SearchIndex, small: bool) -> DataFra
     weights = claim_term_weights(
         prepared, index, WORD, word_original="q_original", word_claim="q_claim"
     )
-    return lexical.lexical_scores(
-        weights, index.postings_word, ["word_original", "word_claim"], small
-    )
+    postings = index.channel_postings(WORD)
+    return lexical.lexical_scores(weights, postings, ["word_original", "word_claim"], small)
 
 
 def char_scores(prepared: DataFrame, index: SearchIndex, small: bool) -> DataFrame:
     weights = claim_term_weights(prepared, index, CHAR, char_original="q_original")
-    return lexical.lexical_scores(weights, index.postings_char, ["char_original"], small)
+    return lexical.lexical_scores(weights, index.channel_postings(CHAR), ["char_original"], small)
+
+
+def pair_scores(prepared: DataFrame, index: SearchIndex, small: bool) -> DataFrame:
+    """All three lexical scores of every pair that shares a term, from one scan of the postings."""
+    word = claim_term_weights(
+        prepared, index, WORD, word_original="q_original", word_claim="q_claim"
+    ).withColumn("channel", F.lit(WORD))
+    char = claim_term_weights(prepared, index, CHAR, char_original="q_original").withColumn(
+        "channel", F.lit(CHAR)
+    )
+    weights = word.unionByName(char, allowMissingColumns=True)
+    return lexical.lexical_scores(
+        weights, index.postings, ["word_original", "word_claim", "char_original"], small
+    )
 
 
 def topn_per_claim(scores: DataFrame, score: str, n: int) -> DataFrame:
@@ -307,31 +320,18 @@ def topn_per_claim(scores: DataFrame, score: str, n: int) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
-def candidate_pool(
+def proposed_pairs(
     prepared: DataFrame,
     claim_vectors: DataFrame,
     index: SearchIndex,
     depths: Depths = Depths(),
     small: bool = True,
 ) -> DataFrame:
-    """Distinct (claim, article) pairs proposed by any channel, with the lexical scores.
-
-    Scores of all channels are brought together per article, where the bucketed index
-    already has them, and ranked for all channels in one pass: at most the channel depth
-    per claim and task is shuffled.
-    """
-    zero, no = F.lit(None).cast("double"), F.lit(False)
-
-    def part(df, **columns):
-        filled = {
-            "word_original": zero, "word_claim": zero, "char_original": zero,
-            "is_semantic": no, "is_identity": no, **columns,
-        }
-        return df.select("article_id", "claim_id", *[c.alias(n) for n, c in filled.items()])
-
-    asked = prepared.select("claim_id", "exclude_article_id").join(claim_vectors, "claim_id")
+    """(claim_id, article_id, is_semantic, identity_candidate) of the two channels without terms."""
     nearest = best_scores(
-        asked.select(
+        prepared.select("claim_id")
+        .join(claim_vectors, "claim_id")
+        .select(
             F.col("claim_id").alias("query_id"),
             "embedding",
             # the source article competes for places here and is dropped later
@@ -339,53 +339,86 @@ def candidate_pool(
         ),
         index.vectors,
         depths.semantic,
-    ).select(F.col("query_id").alias("claim_id"), "article_id")
+    ).select(
+        F.col("query_id").alias("claim_id"),
+        "article_id",
+        F.lit(True).alias("is_semantic"),
+        F.lit(False).alias("identity_candidate"),
+    )
     named = identity_candidates(
         prepared, index.windows, index.vocabulary_char, depths.identity, small
+    ).select(
+        "claim_id",
+        "article_id",
+        F.lit(False).alias("is_semantic"),
+        F.lit(True).alias("identity_candidate"),
     )
-    scored = [
-        part(
-            word_scores(prepared, index, small),
-            word_original=F.col("word_original"),
-            word_claim=F.col("word_claim"),
-        ),
-        part(char_scores(prepared, index, small), char_original=F.col("char_original")),
-        part(nearest.repartition(index.buckets, "article_id"), is_semantic=F.lit(True)),
-        part(named.repartition(index.buckets, "article_id"), is_identity=F.lit(True)),
-    ]
-    everything = scored[0]
-    for other in scored[1:]:
-        everything = everything.unionByName(other)
-    pairs = everything.groupBy("article_id", "claim_id").agg(
-        *[F.coalesce(F.max(c), F.lit(0.0)).alias(c) for c in ("word_original", "word_claim", "char_original")],
-        F.max("is_semantic").alias("is_semantic"),
-        F.max("is_identity").alias("identity_candidate"),
+    return (
+        nearest.unionByName(named)
+        .groupBy("claim_id", "article_id")
+        .agg(
+            F.max("is_semantic").alias("is_semantic"),
+            F.max("identity_candidate").alias("identity_candidate"),
+        )
     )
+
+
+def candidate_pool(
+    prepared: DataFrame,
+    claim_vectors: DataFrame,
+    index: SearchIndex,
+    depths: Depths = Depths(),
+    small: bool = True,
+    pool_small: bool = True,
+) -> DataFrame:
+    """Distinct (claim, article) pairs proposed by any channel, with the lexical scores.
+
+    Term scores are summed where the bucketed postings lie, marked with the proposals of the
+    other channels, and cut to the channel depths inside each task: only the best rows per
+    claim, channel and task are shuffled, never all pairs that share a term.
+    """
+    proposed = materialize(
+        proposed_pairs(prepared, claim_vectors, index, depths, small), "proposed"
+    )
+    pairs = pair_scores(prepared, index, small).join(
+        maybe_broadcast(proposed, pool_small), ["article_id", "claim_id"], "left"
+    )
+
+    def entry(channel, condition, score, depth):
+        fields = {"channel": F.lit(channel), "score": score, "depth": F.lit(depth)}
+        return F.when(condition, F.struct(*[c.alias(n) for n, c in fields.items()]))
+
+    term_depths = {
+        "word_original": depths.word_original,
+        "word_claim": depths.word_claim,
+        "char_original": depths.char_original,
+    }
     channels = F.array_compact(
         F.array(
-            *[
-                F.when(F.col(c) > 0, F.struct(F.lit(c).alias("channel"), F.col(c).alias("score"), F.lit(n).alias("depth")))
-                for c, n in (
-                    ("word_original", depths.word_original),
-                    ("word_claim", depths.word_claim),
-                    ("char_original", depths.char_original),
-                )
-            ],
-            *[
-                # already cut to their depth
-                F.when(F.col(c), F.struct(F.lit(c).alias("channel"), F.lit(1.0).alias("score"), F.lit(n).alias("depth")))
-                for c, n in (("is_semantic", depths.semantic), ("identity_candidate", depths.identity))
-            ],
+            *[entry(c, F.col(c) > 0, F.col(c), n) for c, n in term_depths.items()],
+            # cut to their depths already; kept here for their term scores
+            entry("semantic", F.col("is_semantic"), F.lit(1.0), depths.semantic),
+            entry("identity", F.col("identity_candidate"), F.lit(1.0), depths.identity),
         )
     )
     order = Window.partitionBy("claim_id", "channel").orderBy(F.desc("score"), "article_id")
-    deepest = max(vars(depths).values())
-    return (
+    ranked = (
         pairs.select("*", F.inline(channels))
         .withColumn("rank", F.row_number().over(order))
-        .where((F.col("rank") <= deepest) & (F.col("rank") <= F.col("depth")))
-        .drop("channel", "score", "depth", "rank", "is_semantic")
-        .dropDuplicates(["claim_id", "article_id"])
+        .where((F.col("rank") <= max(vars(depths).values())) & (F.col("rank") <= F.col("depth")))
+        .select("claim_id", "article_id", *term_depths, "identity_candidate")
+    )
+    # proposals that share no term with their claim score 0 in every lexical channel
+    bare = proposed.select(
+        "claim_id", "article_id", *[F.lit(0.0).alias(c) for c in term_depths], "identity_candidate"
+    )
+    return (
+        ranked.unionByName(bare)
+        .groupBy("claim_id", "article_id")
+        .agg(
+            *[F.max(c).alias(c) for c in term_depths],
+            F.coalesce(F.max("identity_candidate"), F.lit(False)).alias("identity_candidate"),
+        )
     )
 
 

@@ -159,17 +159,19 @@ def lexical_scores(
     """Cosine of every claim with every article it shares a term with.
 
     ``weights`` has (claim_id, term, salts) and one weight column per name in ``names``;
-    the result has (article_id, claim_id) and one score per name. A small claim side is
-    broadcast, so postings stay where they are and, read from a table bucketed by article,
-    are summed without a shuffle. Otherwise both sides shuffle on the term, and a term
-    found in very many articles is spread over as many salts as its frequency asks for.
+    the result has (article_id, claim_id) and one score per name. Where both sides have a
+    ``channel``, terms meet within their channel. A small claim side is broadcast, so
+    postings stay where they are and, read from a table bucketed by article, are summed
+    without a shuffle. Otherwise both sides shuffle on the term, and a term found in very
+    many articles is spread over as many salts as its frequency asks for.
     """
+    key = ["channel", "term"] if "channel" in postings.columns else ["term"]
     if small:
-        joined = postings.join(F.broadcast(weights.drop("salts")), "term")
+        joined = postings.join(F.broadcast(weights.drop("salts")), key)
     else:
         salted = postings.withColumn("salt", salt_of(F.col("article_id"), F.col("salts")))
         asked = weights.withColumn("salt", all_salts(F.col("salts"))).drop("salts")
-        joined = salted.join(asked, ["term", "salt"])
+        joined = salted.join(asked, [*key, "salt"])
     sums = [
         F.round(F.coalesce(F.sum(F.col("w") * F.col(n)), F.lit(0.0)), SCORE_DECIMALS).alias(n)
         for n in names

@@ -41,7 +41,8 @@ def score_claims(
     # claims are read by every channel: normalise them once
     prepared = materialize(candidates.prepare_claims(claims), "claims")
     pool = materialize(
-        candidates.candidate_pool(prepared, claim_vectors, index, depths, small), "pool"
+        candidates.candidate_pool(prepared, claim_vectors, index, depths, small, pool_small),
+        "pool",
     )
     scored = candidates.normalize_pool(
         candidates.score_pool(pool, claim_vectors, index, pool_small, small)

@@ -1,7 +1,7 @@
 """The search index as Parquet tables bucketed by article.
 
 All per-article tables share one bucketing on ``article_id``: scoring, pooling and fetching
-text then line up without a shuffle. Postings are sorted by term inside a bucket, which
+text then line up without a shuffle. Postings are sorted by term inside a file, which
 keeps files small and lets row-group statistics skip terms nobody asks for.
 """
 
@@ -22,8 +22,7 @@ BUCKETED = {
     "articles": "article_id",
     "windows": "article_id",
     "vectors": "article_id",
-    "postings_word": "term",
-    "postings_char": "term",
+    "postings": "term",
 }
 COUNTS = {"counts_word": "article_id", "counts_char": "article_id"}
 SORTED = {**BUCKETED, **COUNTS}
@@ -35,15 +34,15 @@ class SearchIndex:
     articles: DataFrame
     windows: DataFrame
     vectors: DataFrame
-    postings_word: DataFrame
-    postings_char: DataFrame
+    postings: DataFrame
     vocabulary_word: DataFrame
     vocabulary_char: DataFrame
     config: DataFrame
     buckets: int
 
-    def postings(self, channel: str) -> DataFrame:
-        return getattr(self, f"postings_{channel}")
+    def channel_postings(self, channel: str) -> DataFrame:
+        """Postings of one channel; the files of the other one are skipped by statistics."""
+        return self.postings.where(F.col("channel") == channel).drop("channel")
 
     def vocabulary(self, channel: str) -> DataFrame:
         return getattr(self, f"vocabulary_{channel}")
@@ -51,7 +50,7 @@ class SearchIndex:
     def stats(self) -> DataFrame:
         channels = (WORD, CHAR)
         return lexical.index_stats(
-            {c: self.postings(c) for c in channels},
+            {c: self.channel_postings(c) for c in channels},
             {c: self.vocabulary(c) for c in channels},
             self.articles,
         )
@@ -84,21 +83,26 @@ def article_windows(articles: DataFrame) -> DataFrame:
 
 
 def _save_bucketed(
-    df: DataFrame, directory: str, name: str, buckets: int, partitioned: bool = False
+    parts: list[DataFrame], directory: str, name: str, buckets: int, partitioned: bool = False
 ) -> None:
-    """``partitioned``: the rows already are hashed on the article into ``buckets`` parts."""
+    """Write the parts, one after the other, into one bucketed table.
+
+    ``partitioned``: the rows already are hashed on the article into ``buckets`` parts.
+    """
+    spark = parts[0].sparkSession
     table = f"claimweave_{name}_{uuid.uuid4().hex}"
-    hashed = df if partitioned else df.repartition(buckets, "article_id")
-    (
-        hashed.write.format("parquet")
-        .option("path", f"{directory}/{name}")
-        .bucketBy(buckets, "article_id")
-        .sortBy(SORTED[name])
-        .mode("overwrite")
-        .saveAsTable(table)
-    )
+    for i, part in enumerate(parts):
+        hashed = part if partitioned else part.repartition(buckets, "article_id")
+        (
+            hashed.write.format("parquet")
+            .option("path", f"{directory}/{name}")
+            .bucketBy(buckets, "article_id")
+            .sortBy(SORTED[name])
+            .mode("append" if i else "overwrite")
+            .saveAsTable(table)
+        )
     # the entry only served the bucketed write; the files of an external table stay
-    df.sparkSession.sql(f"DROP TABLE {table}")
+    spark.sql(f"DROP TABLE {table}")
 
 
 def _load_bucketed(spark: SparkSession, directory: str, name: str, buckets: int) -> DataFrame:
@@ -121,24 +125,29 @@ def save_index(
     """Build and write the whole index. Choose ``buckets`` near postings bytes / 512 MB."""
     spark = articles.sparkSession
     require_columns(articles)
-    _save_bucketed(articles.select(*ARTICLE_COLUMNS), directory, "articles", buckets)
+    _save_bucketed([articles.select(*ARTICLE_COLUMNS)], directory, "articles", buckets)
     # from here on every step reads the hashed copy and keeps its partitioning
     articles = _load_bucketed(spark, directory, "articles", buckets)
-    _save_bucketed(article_windows(articles), directory, "windows", buckets, True)
+    _save_bucketed([article_windows(articles)], directory, "windows", buckets, True)
     vector_columns = vectors.select(
         F.col("article_id").cast("bigint").alias("article_id"), F.col("embedding").cast("array<float>")
     )
-    _save_bucketed(vector_columns, directory, "vectors", buckets)
+    _save_bucketed([vector_columns], directory, "vectors", buckets)
     n = articles.count()
     texts = lexical.search_texts(articles)
+    postings = []
     for channel in (WORD, CHAR):
         counts_name = f"counts_{channel}"
-        _save_bucketed(lexical.term_counts(texts, channel), directory, counts_name, buckets, True)
+        _save_bucketed([lexical.term_counts(texts, channel)], directory, counts_name, buckets, True)
         counts = _load_bucketed(spark, directory, counts_name, buckets)
         path = f"{directory}/vocabulary_{channel}"
         lexical.fit_vocabulary(counts, n, channel).write.mode("overwrite").parquet(path)
         weighted = lexical.tfidf(counts, spark.read.parquet(path))
-        _save_bucketed(weighted, directory, f"postings_{channel}", buckets, True)
+        postings.append(
+            weighted.select("article_id", F.lit(channel).alias("channel"), "term", "w", "salts")
+        )
+    # both channels in one table: a claim batch is scored against them in one pass
+    _save_bucketed(postings, directory, "postings", buckets, True)
     first = vectors.select(F.size("embedding").alias("d")).first()
     settings = {
         "document_count": n,

@@ -139,13 +139,13 @@ def test_identity_paths_agree(spark, data, index):
 def test_hot_terms_are_salted_without_changing_scores(spark, data, index):
     prepared = candidates.prepare_claims(views.claims(spark, data)).cache()
     weights = candidates.claim_term_weights(prepared, index, "char", char_original="q_original")
-    plain = lexical.lexical_scores(weights, index.postings_char, ["char_original"], True)
+    plain = lexical.lexical_scores(weights, index.channel_postings("char"), ["char_original"], True)
     split = index.vocabulary_char.select("term", F.ceil(F.col("df") / 20).cast("int").alias("salts"))
 
     def salted(df):
         return df.drop("salts").join(split, "term")
 
-    again = lexical.lexical_scores(salted(weights), salted(index.postings_char), ["char_original"], False)
+    again = lexical.lexical_scores(salted(weights), salted(index.channel_postings("char")), ["char_original"], False)
     a, b = (rows(x, "claim_id", "article_id", F.round("char_original", 6)) for x in (plain, again))
     assert split.agg(F.max("salts")).first()[0] > 1
     assert a == b
