@@ -239,7 +239,7 @@ def identity_candidates(
     windows: DataFrame,
     vocabulary_char: DataFrame,
     limit: int = 250,
-    small: bool = True,
+    small: bool = False,
 ) -> DataFrame:
     """Articles that name two entities of a claim, or one next to a phrase or number of it.
 
@@ -325,7 +325,7 @@ def proposed_pairs(
     claim_vectors: DataFrame,
     index: SearchIndex,
     depths: Depths = Depths(),
-    small: bool = True,
+    small: bool = False,
 ) -> DataFrame:
     """(claim_id, article_id, is_semantic, identity_candidate) of the two channels without terms."""
     nearest = best_scores(
@@ -368,8 +368,8 @@ def candidate_pool(
     claim_vectors: DataFrame,
     index: SearchIndex,
     depths: Depths = Depths(),
-    small: bool = True,
-    pool_small: bool = True,
+    small: bool = False,
+    pool_small: bool = False,
 ) -> DataFrame:
     """Distinct (claim, article) pairs proposed by any channel, with the lexical scores.
 

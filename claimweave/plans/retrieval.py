@@ -26,6 +26,13 @@ CANDIDATE_COLUMNS = [
 ]
 
 
+def broadcastable(claims: DataFrame, depths: Depths = Depths()) -> tuple[bool, bool]:
+    """Whether claim-side data, and the candidate pool, of a measured claim batch may be broadcast."""
+    # queries use at most this much of a source text
+    batch = measure(claims.withColumn("source_content", F.substring("source_content", 1, 3500)))
+    return batch.fits(CLAIM_GROWTH), candidates.pool_fits(batch, depths)
+
+
 def score_claims(
     claims: DataFrame,
     claim_vectors: DataFrame,
@@ -34,10 +41,7 @@ def score_claims(
     allow_broadcast: bool = True,
 ) -> DataFrame:
     """Every pooled pair of claim and article with scores, signals and relevance."""
-    # queries use at most this much of a source text
-    batch = measure(claims.withColumn("source_content", F.substring("source_content", 1, 3500)))
-    small = allow_broadcast and batch.fits(CLAIM_GROWTH)
-    pool_small = allow_broadcast and candidates.pool_fits(batch, depths)
+    small, pool_small = broadcastable(claims, depths) if allow_broadcast else (False, False)
     # claims are read by every channel: normalise them once
     prepared = materialize(candidates.prepare_claims(claims), "claims")
     pool = materialize(
