@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from claimweave.llm.fingerprints import op1_fingerprints
 from claimweave.llm.mixing import op9_mixing
+from claimweave.llm.packing import op8_packing
+from claimweave.llm.pivot_search import OP5_SQL, op5_pivot_search
 from claimweave.llm.sharding import op6_sharding
+from claimweave.llm.token_files import op7_token_files
 
-QUERIES = {q.__name__: q for q in (op1_fingerprints, op6_sharding, op9_mixing)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    q.__name__: q
+    for q in (op1_fingerprints, op5_pivot_search, op6_sharding, op7_token_files, op8_packing, op9_mixing)
+}
+ORACLES: dict[str, str] = {"op5_pivot_search": OP5_SQL}
