@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from claimweave.llm.fingerprints import op1_fingerprints
+from claimweave.llm.jaccard_join import op2_jaccard_join
 from claimweave.llm.mixing import op9_mixing
 from claimweave.llm.packing import op8_packing
 from claimweave.llm.pivot_search import OP5_SQL, op5_pivot_search
@@ -11,6 +12,6 @@ from claimweave.llm.token_files import op7_token_files
 
 QUERIES = {
     q.__name__: q
-    for q in (op1_fingerprints, op5_pivot_search, op6_sharding, op7_token_files, op8_packing, op9_mixing)
+    for q in (op1_fingerprints, op2_jaccard_join, op5_pivot_search, op6_sharding, op7_token_files, op8_packing, op9_mixing)
 }
 ORACLES: dict[str, str] = {"op5_pivot_search": OP5_SQL}
