@@ -13,9 +13,10 @@ count n - 0.8 n + 1 has a signature in common with that of every set that it lin
    divided into subclasses, as many as suit the size band of the set, so that pairs stay linear in
    the prefix; bands of sets that can link are equal or adjacent, so pairs are made for both.
 3. Sets of one signature are compared with the one of them that has the fewest tokens of its own;
-   links join them into components. Then every pair with a common signature whose sets still
-   are in different components, and whose shared tokens allow a link, is compared. No pair within
-   a component is ever listed, and no link between components is lost.
+   links join them into components. A set that shares a signature with sets of other components is
+   then compared with all sets of the largest of these and with the other such sets there, in
+   blocks that report links only. No pair within a component is ever listed, and no link
+   between components is lost.
 """
 
 from __future__ import annotations
@@ -36,6 +37,9 @@ FREQUENT = 32
 # Tokens that a task packs at once, and that a bucket holds on average.
 PIECE_TOKENS = 1_000_000
 BUCKET_TOKENS = 1_500_000
+# Sets of a component held in one block, and sets compared with a block at once.
+BLOCK_SETS = 256
+ASKING_SETS = 1024
 
 _SENT = "key int, tokens binary, docs binary, digests binary, sizes binary, frequent binary"
 _BACK = "part int, digests binary, sizes binary, tokens binary, frequent binary"
@@ -306,22 +310,67 @@ def links(documents: DataFrame, total: int) -> DataFrame:
         .agg(F.max_by("label", F.struct("sets", "label")).alias("major"), F.count("*").alias("labels"))
         .where("labels > 1").drop("labels")
     )
-    open_ = materialize(labelled.join(split, "sig"), "join_open")
-    minor = open_.where("label <> major").select(
-        "sig", F.col("digest").alias("x"), F.col("n").alias("nx"), F.col("own").alias("ox"), F.col("label").alias("lx")
+    minor = (
+        labelled.join(split, "sig").where("label <> major")
+        .select("major", "digest").distinct()
     )
-    others = open_.select("sig", "digest", "n", "own", "label", "major")
-    crossing = (
-        minor.join(others, "sig").where("lx <> label").where((F.col("label") == F.col("major")) | (F.col("x") < F.col("digest")))
-        .where(allowed("nx", "ox", "n", "own"))
-        .select(F.least("x", "digest").alias("a"), F.greatest("x", "digest").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
+    minor = materialize(minor, "join_minor")
+    more = materialize(_crossing(minor, sets, roots), "join_links")
+    return roots if more.isEmpty() else components(found.union(more))
+
+
+def _crossing(minor: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links (a, b) between components, from every set in ``minor`` (major, digest).
+
+    Such a set is compared with all sets of the component ``major`` and all others that ``minor`` lists
+    with it, block by block; a block reports one link per component that it finds.
+    """
+    own = sets.join(roots, sets["digest"] == roots["node"], "left").select(
+        "digest", "n", "tokens", F.coalesce("root", "digest").alias("label")
+    )
+    of_major = own.join(minor.select(F.col("major").alias("label")).distinct(), "label").select(
+        F.col("label").alias("major"), "digest"
     )
-    more = materialize(_verified(crossing, sets), "join_links")
-    if more.isEmpty():
-        return roots
-    return components(found.union(more))
+    members = of_major.union(minor)
+    sizes = members.groupBy("major").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+    askers = minor.groupBy("major").agg(F.ceil(F.count("*") / ASKING_SETS).cast("int").alias("salts"))
+    facts = sizes.join(askers, "major")
+
+    def salt(n: str):
+        return F.pmod(F.xxhash64("digest"), F.col(n)).cast("int")
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    columns = ["major", "block", "salt", "digest"]
+    held = members.join(facts, "major").withColumn("block", salt("blocks")).withColumn("salt", every("salts"))
+    asking = minor.join(facts, "major").withColumn("salt", salt("salts")).withColumn("block", every("blocks"))
+    place = columns[:3]
+    left = held.select(*columns).join(own, "digest").groupBy(*place)
+    return left.cogroup(asking.select(*columns).join(own, "digest").groupBy(*place)).applyInArrow(_compare, "a bigint, b bigint")
+
+
+def _compare(held: pa.Table, asking: pa.Table) -> pa.Table:
+    """One link (a, b) from every asking set to every other component held in the block."""
+    found: list[tuple[int, int]] = []
+    if held.num_rows and asking.num_rows:
+        tokens = [np.frombuffer(x, np.uint64) for x in held["tokens"].to_pylist()]
+        owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+        every = np.concatenate(tokens)
+        order = np.argsort(every, kind="stable")
+        every, owner = every[order], owner[order]
+        digest, n, label = (held[c].to_numpy() for c in ("digest", "n", "label"))
+        for row in asking.to_pylist():
+            mine = np.frombuffer(row["tokens"], np.uint64)
+            lo, hi = np.searchsorted(every, mine, "left"), np.searchsorted(every, mine, "right")
+            count = hi - lo
+            place = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(count.sum())
+            common = np.bincount(owner[place], minlength=len(tokens))
+            good = (100 * common >= 80 * (n + row["n"] - common)) & (label != row["label"])
+            _, first = np.unique(label[good], return_index=True)
+            found += [(row["digest"], int(y)) for y in digest[good][first]]
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def join_documents(documents: DataFrame) -> DataFrame:

@@ -1,4 +1,11 @@
-"""The corpus pipeline: stages that each take the documents left by the stage before."""
+"""The corpus pipeline: stages that each take the documents left by the stage before.
+
+1. quality classifier: documents that it rejects go,
+2. n-gram Jaccard join: of each group of near-duplicates the document of smallest id stays,
+3. personal data: spans are replaced by their kind,
+4. mixing: sources are repeated or cut to their targets,
+5. packing: what remains is encoded and packed into sequences, one row per piece.
+"""
 
 from __future__ import annotations
 
@@ -6,19 +13,50 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from claimweave.llm import mixing  # noqa: E402
+from claimweave.llm import jaccard_join, mixing, packing, personal_data, quality  # noqa: E402
 from claimweave.llm.tables import materialize, read_table  # noqa: E402
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on their labels, does not reject."""
+    return quality.keep_good(docs, read_table(spark, sf_dir, "labels"))
+
+
+def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose id names their component; those without words are components of their own."""
+    joined = jaccard_join.join_documents(docs)
+    first = joined.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    stays = first.withColumnRenamed("doc_id", "_first")
+    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced."""
+    return personal_data.redact(docs, personal_data.fit(docs))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources: a row per time a document is taken, cut where only part of it is."""
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("mixing_sources", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 ids."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_classifier", keep_good),
+    ("ngram_jaccard_join", keep_first_copies),
+    ("personal_data", redact),
+    ("mixing_sources", mix),
+    ("packing", pack),
+]
+# Classifiers and tokenizers are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
