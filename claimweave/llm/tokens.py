@@ -16,9 +16,12 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-# Texts are encoded in groups of about this many characters, and so many words are cached.
-GROUP_CHARS = 1 << 21
-CACHE_WORDS = 400_000
+# Texts are encoded in groups of about this many characters, the library gets so many words at once,
+# and so many words are cached.
+GROUP_CHARS = 1 << 20
+CALL_WORDS = 2048
+CACHE_WORDS = 500_000
+LONG_WORD = 11
 
 # ASCII and Latin-1 without controls: NFC leaves it alone and lower case is one letter for one.
 _PLAIN = re.compile(r"[\t\n\x0b\x0c\r\x20-\x7e\xa1-\xff]*")
@@ -48,26 +51,54 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             self.by_word = _by_word(json.load(file))
+        # Whether a token ends a word: words of letters joined by spaces can be told apart again.
+        names = sorted(self.tokenizer.get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])
+        self.ends = np.zeros(names[-1][1] + 1, bool)
+        self.ends[[i for name, i in names if name.endswith("</w>")]] = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.cache: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+        out: list[bytes] = []
+        for at in range(0, len(texts), CALL_WORDS):  # encodings are large objects: few at a time
+            found = self.tokenizer.encode_batch_fast(texts[at : at + CALL_WORDS], add_special_tokens=False)
+            out += [np.array(x.ids, self.dtype).tobytes() for x in found]
+        return out
 
-    def _learn(self, words: set[str]) -> None:
-        """Caches new words; a word of letters before full stops or commas is two pieces."""
-        if len(self.cache) + len(words) > CACHE_WORDS:
-            self.cache.clear()
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, many in one text, which spares the library's costs per text."""
+        out: list[bytes] = []
+        size = self.dtype.itemsize
+        for at in range(0, len(words), CALL_WORDS):
+            some = words[at : at + CALL_WORDS]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.dtype)
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) != len(some) or last[-1] != len(ids):
+                out += self._library(some)
+                continue
+            data, cuts = ids.tobytes(), [0, *(last * size).tolist()]
+            out += [data[a:z] for a, z in zip(cuts, cuts[1:])]
+        return out
+
+    def _learn(self, words: set[str]) -> list[str]:
+        """Caches the ids of new words and returns those to forget again: long ones hardly ever come back.
+
+        A word of letters before full stops or commas is two pieces.
+        """
         cut = {}
         for w in words:
             base = w.rstrip(".,")
             if base and base != w and base.isalpha():
-                cut[w] = (base, w[len(base):])
-        parts = list(({p for pair in cut.values() for p in pair} | (words - cut.keys())) - self.cache.keys())
-        self.cache.update(zip(parts, self._library(parts)))
-        for w, (base, end) in cut.items():
-            self.cache[w] = self.cache[base] + self.cache[end]
+                cut[w] = base
+        parts = (set(cut.values()) | {w[len(base):] for w, base in cut.items()} | (words - cut.keys())) - self.cache.keys()
+        plain = [p for p in parts if p.isalpha()]
+        other = [p for p in parts if not p.isalpha()]
+        cache = self.cache
+        cache.update(zip(plain, self._letters(plain)))
+        cache.update(zip(other, self._library(other)))
+        for w, base in cut.items():
+            cache[w] = cache[base] + cache[w[len(base):]]
+        return [w for some in (cut, plain, other) for w in some if len(w) > LONG_WORD]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian integers of ``dtype``."""
@@ -79,15 +110,14 @@ class Encoder:
             else:
                 whole.append(i)
         every = set().union(*[words for _, words in split])
-        new = every - self.cache.keys()
-        if len(self.cache) + 2 * len(new) > CACHE_WORDS:
+        if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-            new = every
-        if new:
-            self._learn(new)
+        passing = self._learn(every - self.cache.keys())
         get = self.cache.__getitem__
         for i, words in split:
             out[i] = b"".join(map(get, words))
+        for w in passing:
+            del self.cache[w]
         for i in whole:
             out[i] = self._library([texts[i]])[0]
         return out
