@@ -8,6 +8,7 @@ from __future__ import annotations
 import glob
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -25,7 +26,7 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.warehouse.dir", "/tmp/claimweave-warehouse")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="claimweave-warehouse-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -769,9 +769,10 @@ def _(spark, d):
     return verdict.explode_relations(validated).select("claim_id", "evidence_id", "relationship")
 
 
-sql.cte("results", "claims evidence good", """
-SELECT c.claim_id, coalesce(g.verdict, 'UNCERTAIN') AS verdict, coalesce(g.confidence, 0.5) AS confidence, c.claim, c.entities,
-  coalesce(g.explanation, 'Verification completed.') AS explanation, coalesce(g.summary, '') AS summary FROM claims c LEFT JOIN good g USING (claim_id)""")
+sql.cte("results", "claims evidence good verdicts", """
+SELECT c.claim_id, g.verdict, g.confidence, c.claim, c.entities, g.explanation, g.summary,
+  CASE WHEN g.claim_id IS NULL THEN coalesce(v.error, 'no reply') END AS error
+FROM claims c LEFT JOIN good g USING (claim_id) LEFT JOIN verdicts v USING (claim_id)""")
 
 
 def _results(spark, d):
@@ -779,13 +780,13 @@ def _results(spark, d):
 
 
 @register("verdict_responses", query(
-    "SELECT r.claim_id, r.verdict, r.confidence, r.claim, array_to_string(r.entities, '|') AS entities, r.explanation, r.summary, "
+    "SELECT r.claim_id, r.verdict, r.confidence, r.claim, array_to_string(r.entities, '|') AS entities, r.explanation, r.summary, r.error, "
     "coalesce(e.n, 0) AS evidence_count, coalesce(e.ids, '') AS evidence_ids, coalesce(e.snippets, '') AS snippets FROM results r LEFT JOIN ("
     "SELECT claim_id, count(*) AS n, string_agg(evidence_id, '|' ORDER BY rank) AS ids, string_agg(substr(content, 1, 350), '|' ORDER BY rank) AS snippets "
     "FROM evidence GROUP BY claim_id) e USING (claim_id)", "results", "evidence"))
 def _(spark, d):
     return _results(spark, d).select(
-        "claim_id", "verdict", "confidence", "claim", joined("entities").alias("entities"), "explanation", "summary",
+        "claim_id", "verdict", "confidence", "claim", joined("entities").alias("entities"), "explanation", "summary", "error",
         big(F.size("evidence")).alias("evidence_count"), joined("evidence.evidence_id").alias("evidence_ids"), joined("evidence.content_snippet").alias("snippets"))
 
 
@@ -796,7 +797,7 @@ def _(spark, d):
     "CASE WHEN e.evidence_type = 'FACT_CHECK' OR contains(e.title, 'सच') THEN 'Fact Check Report' ELSE 'News Evidence' END AS badge, "
     "least(floor(coalesce(nullif(e.evidence_score, 0), 0.5) * 100 + 0.5), 100)::BIGINT AS match_percent, "
     f"CASE WHEN e.content <> '' THEN {sql.collapse('substr(e.content, 1, 350)')} ELSE 'Snippet unavailable.' END AS snippet "
-    "FROM (SELECT *, CASE WHEN confidence = 0 THEN 0.5 ELSE confidence END AS k FROM results) r LEFT JOIN evidence e USING (claim_id)", "results", "evidence"))
+    "FROM (SELECT *, CASE WHEN confidence = 0 THEN 0.5 ELSE confidence END AS k FROM results WHERE error IS NULL) r LEFT JOIN evidence e USING (claim_id)", "results", "evidence"))
 def _(spark, d):
     view = verdict.report_view(_results(spark, d))
     return view.select(*[F.col(c).cast("bigint").alias(c) if c in ("rank", "confidence_percent", "match_percent") else c for c in view.columns])

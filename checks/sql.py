@@ -372,7 +372,7 @@ cte("raw_sheet", "", """
 SELECT URL, TITLE, CONTENT, BOOL FROM (SELECT concat(' https://', source, '.example/', CAST(doc_id AS VARCHAR)) AS URL,
   CASE WHEN doc_id % 13 = 0 THEN NULL ELSE concat('  ', substr(split_part(text, chr(10), 1), 1, 200), chr(10)) END AS TITLE,
   text AS CONTENT,
-  CASE doc_id % 6 WHEN 0 THEN '0' WHEN 1 THEN '1' WHEN 2 THEN '1.0' WHEN 3 THEN 'x' WHEN 4 THEN NULL ELSE '0' END AS BOOL,
+  CASE doc_id % 8 WHEN 0 THEN '0' WHEN 1 THEN '1' WHEN 2 THEN '1.0' WHEN 3 THEN 'x' WHEN 4 THEN NULL WHEN 5 THEN '0' WHEN 6 THEN '1d' ELSE '0f' END AS BOOL,
   unnest([1, 2]) AS copy FROM documents)""")
 cte("cleaned", "raw_sheet", f"""
 SELECT row_number() OVER (ORDER BY url, title, content, label) AS article_id, * FROM (
@@ -385,7 +385,7 @@ SELECT a.article_id, a.label AS true_label, CASE WHEN a.article_id % 11 = 0 THEN
   CASE WHEN a.article_id % 11 = 0 THEN NULL ELSE 0.5::DOUBLE + CAST(a.article_id % 50 AS DOUBLE) / 100 END AS confidence,
   CASE WHEN a.article_id % 11 = 0 THEN NULL ELSE CAST(a.article_id % 400 AS DOUBLE) / 10 END AS processing_time_seconds
 FROM labelled a JOIN labels l ON a.article_id = l.doc_id""")
-cte("responses", "", "SELECT doc_id AS claim_id, CASE doc_id % 6 " + " ".join(
+cte("responses", "", f"SELECT doc_id AS claim_id, CASE doc_id % {views.REPLY_KINDS} " + " ".join(
     f"WHEN {k} THEN {quoted(v)}" for k, v in views.REPLIES.items()) + " END AS raw FROM labels")
 _F1 = f"regexp_replace(regexp_replace({strip('raw')}, '^```json\\s*', '', 'i'), '^```\\s*', '')"
 cte("replies", "responses", f"""
@@ -395,7 +395,8 @@ SELECT *, CASE WHEN json_valid(whole) THEN whole WHEN json_valid(part) THEN part
 cte("verdicts", "replies", f"""
 SELECT claim_id, json, CASE WHEN json IS NULL THEN 'no valid JSON' WHEN json_type(json) <> 'OBJECT' THEN 'not a JSON object' END AS error,
   CASE WHEN upper(trim(json_extract_string(json, '$.verdict'))) IN ('FAKE', 'REAL', 'UNCERTAIN') THEN upper(trim(json_extract_string(json, '$.verdict'))) ELSE 'UNCERTAIN' END AS verdict,
-  round(least(greatest(coalesce(TRY_CAST(json_extract_string(json, '$.confidence') AS DOUBLE), 0.0), 0.0), 1.0), 4) AS confidence,
+  round(least(greatest(CASE json_type(json, '$.confidence') WHEN 'BOOLEAN' THEN CAST(CAST(json_extract(json, '$.confidence') AS BOOLEAN) AS DOUBLE)
+    ELSE coalesce(TRY_CAST(json_extract_string(json, '$.confidence') AS DOUBLE), 0.0) END, 0.0), 1.0), 4) AS confidence,
   coalesce(nullif(trim(json_extract_string(json, '$.explanation')), ''), {quoted(vd.NO_EXPLANATION)}) AS explanation,
   nullif(trim(json_extract_string(json, '$.summary')), '') AS own_summary
 FROM replies""")

@@ -6,10 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Decimal digits with an optional point, sign and exponent. A cast alone would also take "1d" and "0f".
+NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+
+
+def to_number(c: Column) -> Column:
+    """Double value of a column that is a number or the text of one, else null."""
+    text = F.trim(c.cast("string"))
+    return F.when(text.rlike(NUMBER), text).try_cast("double")
+
+
 def first_float(*columns: Column, default: float = 0.0) -> Column:
     """First column that reads as a number, else ``default``."""
-    readable = [c.cast("string").try_cast("double") for c in columns]
-    return F.coalesce(*readable, F.lit(default))
+    return F.coalesce(*[to_number(c) for c in columns], F.lit(default))
 
 
 def clamp01(c: Column) -> Column:

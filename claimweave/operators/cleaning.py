@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimweave.functions.numeric import to_number
 from claimweave.functions.text import strip_ws
 from claimweave.operators.profiling import data_quality, label_distribution
 from claimweave.scale import with_row_index
@@ -43,11 +44,7 @@ def rename_raw(df: DataFrame) -> DataFrame:
 
 def coerce_label(df: DataFrame) -> DataFrame:
     """Numeric labels truncated to integers; rows whose label is no number are dropped."""
-    number = F.trim(F.col("label").cast("string")).try_cast("double")
-    usable = number.isNotNull() & ~F.isnan(number)
-    return df.withColumn("label", F.when(usable, number).try_cast("int")).where(
-        F.col("label").isNotNull()
-    )
+    return df.withColumn("label", to_number(F.col("label")).try_cast("int")).where(F.col("label").isNotNull())
 
 
 def assign_ids(df: DataFrame, *order) -> DataFrame:

@@ -123,4 +123,5 @@ def lookup_articles(articles: DataFrame, ids: DataFrame) -> DataFrame:
     wanted = ids.select("article_id").distinct()
     small = measure(wanted).fits()
     hits = articles.join(maybe_broadcast(wanted, small), "article_id", "left_semi")
-    return wanted.join(hits, "article_id", "left").withColumn("found", F.col("content").isNotNull())
+    joined = wanted.join(hits.withColumn("found", F.lit(True)), "article_id", "left")
+    return joined.withColumn("found", F.coalesce("found", F.lit(False)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from claimweave.functions import lexicons
 from claimweave.functions.jsontext import extract_json, is_json_object
-from claimweave.functions.numeric import clamp01, round4
+from claimweave.functions.numeric import clamp01, round4, to_number
 from claimweave.functions.text import collapse_ws, snippet, strip_ws, text_or_blank, truncate_middle
 from claimweave.operators.profiling import label_name
 from claimweave.schema import CLAIM_RECORD_SCHEMA
@@ -145,6 +145,21 @@ def _field(name: str) -> Column:
     return F.get_json_object("json", f"$.{name}")
 
 
+def _json_type(json: str, path: str) -> Column:
+    """Type of a field of a JSON text, such as ``BOOLEAN`` or ``STRING``."""
+    return F.schema_of_variant(F.try_variant_get(F.try_parse_json(json), path, "variant"))
+
+
+def _confidence() -> Column:
+    """Confidence as a number: JSON booleans are 1 and 0, infinite and undefined words lie at the bounds."""
+    text = F.lower(F.trim(_field("confidence")))
+    return (
+        F.when(_json_type("json", "$.confidence") == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0))
+        .when(text.rlike(r"^(?:\+?inf(?:inity)?|[+-]?nan)$"), 1.0)
+        .otherwise(F.coalesce(to_number(text), F.lit(0.0)))
+    )
+
+
 def validate_responses(responses: DataFrame) -> DataFrame:
     """Checked verdicts from (claim_id, raw).
 
@@ -160,9 +175,7 @@ def validate_responses(responses: DataFrame) -> DataFrame:
         "json",
         F.when(F.col("json").isNull(), "no valid JSON").when(~ok, "not a JSON object").alias("error"),
         F.when(verdict.isin(lexicons.VERDICTS), verdict).otherwise("UNCERTAIN").alias("verdict"),
-        F.when(_field("confidence") == "true", 1.0)
-        .otherwise(F.coalesce(_field("confidence").try_cast("double"), F.lit(0.0)))
-        .alias("confidence"),
+        _confidence().alias("confidence"),
         explanation.alias("explanation"),
         F.nullif(strip_ws(_field("summary")), F.lit("")).alias("summary"),
     )
@@ -183,10 +196,10 @@ def explode_relations(validated: DataFrame) -> DataFrame:
 
     Items that are no objects are dropped; an unknown relation becomes ``insufficient``.
     """
-    items = F.from_json(F.get_json_object("json", "$.evidence_analysis"), "array<string>")
-    each = validated.select("claim_id", F.posexplode(items).alias("position", "item")).where(
-        F.col("item").startswith("{")
-    )
+    items = F.try_variant_get(F.try_parse_json("json"), "$.evidence_analysis", "array<variant>")
+    each = validated.select("claim_id", F.posexplode(items).alias("position", "value"))
+    each = each.where(F.schema_of_variant("value").startswith("OBJECT"))
+    each = each.withColumn("item", F.to_json("value"))
     relation = F.lower(
         strip_ws(F.coalesce(F.get_json_object("item", "$.relationship"), F.lit("insufficient")))
     )
@@ -199,7 +212,10 @@ def explode_relations(validated: DataFrame) -> DataFrame:
 
 
 def format_results(claims: DataFrame, evidence: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """One response row per claim with the evidence nested in rank order."""
+    """One response row per claim with the evidence nested in rank order.
+
+    A claim without a valid reply has ``error`` and no verdict, confidence, explanation or summary.
+    """
     c = F.col
 
     def number(*names):
@@ -227,25 +243,26 @@ def format_results(claims: DataFrame, evidence: DataFrame, verdicts: DataFrame)
     empty = F.array().cast("array<string>")
     return joined.select(
         "claim_id",
-        F.coalesce("verdict", F.lit("UNCERTAIN")).alias("verdict"),
-        F.coalesce("confidence", F.lit(0.5)).alias("confidence"),
+        "verdict",
+        "confidence",
         "claim",
         F.coalesce("entities", empty).alias("entities"),
         F.coalesce("numbers_dates", empty).alias("numbers_dates"),
-        F.coalesce("explanation", F.lit("Verification completed.")).alias("explanation"),
-        F.coalesce("summary", F.lit("")).alias("summary"),
+        "explanation",
+        "summary",
         F.coalesce("evidence", F.array()).alias("evidence"),
+        F.when(c("verdict").isNull(), F.coalesce("error", F.lit("no reply"))).alias("error"),
     )
 
 
 def report_view(results: DataFrame) -> DataFrame:
-    """Display values of a response: certainty band, percentages, titles, badges."""
+    """Display values of a response: certainty band, percentages, titles, badges. Failed claims have none."""
     c = F.col
     # a zero confidence counts as missing
     confidence = clamp01(F.when(c("confidence") == 0, 0.5).otherwise(F.coalesce("confidence", F.lit(0.5))))
     score = F.coalesce(F.nullif(c("e.evidence_score"), F.lit(0.0)), F.lit(0.5))
     fact_check = (c("e.evidence_type") == "FACT_CHECK") | F.contains(c("e.title"), F.lit("सच"))
-    per_item = results.withColumn("e", F.explode_outer(F.slice("evidence", 1, 3)))
+    per_item = results.where(c("error").isNull()).withColumn("e", F.explode_outer(F.slice("evidence", 1, 3)))
     return per_item.select(
         "claim_id",
         F.when(F.upper("verdict") == "FAKE", "FAKE NEWS")

@@ -113,7 +113,14 @@ REPLIES = {
     2: "no object here",
     3: '{"verdict":"MAYBE","confidence":"high"}',
     5: '{"confidence":-0.2,"evidence_analysis":"none"}',
+    6: '{"verdict":"REAL","confidence":"true","explanation":" e "}',
+    7: '{"verdict":"REAL","confidence":true}',
+    8: '{"verdict":"FAKE","confidence":"0.9d"}',
+    9: '{"verdict":"FAKE","confidence":1,"evidence_analysis":["{x",{"evidence_id":"E3","relationship":"CONTRADICTS "},5,null]}',
+    10: "[1, 2]",
+    11: '{"verdict":"REAL","confidence":"inf","evidence_analysis":[]}',
 }
+REPLY_KINDS = 12
 
 
 def responses(spark: SparkSession, directory: str) -> DataFrame:
@@ -121,7 +128,7 @@ def responses(spark: SparkSession, directory: str) -> DataFrame:
     i = F.col("doc_id")
     raw = F.lit(None).cast("string")
     for remainder, text in REPLIES.items():
-        raw = F.when(i % 6 == remainder, F.lit(text)).otherwise(raw)
+        raw = F.when(i % REPLY_KINDS == remainder, F.lit(text)).otherwise(raw)
     return table(spark, directory, "labels").select(i.alias("claim_id"), raw.alias("raw"))
 
 
@@ -140,12 +147,12 @@ def raw_sheet(spark: SparkSession, directory: str) -> DataFrame:
     """Uncleaned sheet: every row twice, padded text, null titles, unusable labels."""
     i = F.col("doc_id")
     title = F.concat(F.lit("  "), first_line(F.col("text")), F.lit("\n"))
-    labels = words_array(["0", "1", "1.0", "x"])
+    labels = words_array(["0", "1", "1.0", "x", None, "0", "1d", "0f"])
     rows = table(spark, directory, "documents").select(
         F.concat(F.lit(" https://"), "source", F.lit(".example/"), i.cast("string")).alias("URL"),
         F.when(i % 13 != 0, title).alias("TITLE"),
         F.col("text").alias("CONTENT"),
-        F.when(i % 6 == 5, "0").when(i % 6 < 4, labels[(i % 6).cast("int")]).alias("BOOL"),
+        labels[(i % 8).cast("int")].alias("BOOL"),
     )
     return rows.unionAll(rows)
 

@@ -279,3 +279,33 @@ def test_evaluation_sinks(spark, data, tmp_path):
     tables.write_evaluation(p, evaluation.confusion_matrix(p), metrics, str(tmp_path))
     assert spark.read.json(f"{tmp_path}/metrics").first()["evaluation_sample_size"] == p.count()
     assert spark.read.option("header", "true").csv(f"{tmp_path}/evaluation_results").count() == p.count()
+
+
+def test_numbers_are_read_strictly(spark):
+    from claimweave.functions import numeric
+
+    texts = ["1d", "0f", "0x1", "1_0", "", " 2.5 ", "-.5e1", "7.", "nan", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(numeric.to_number(F.col("t"))).collect()]
+    assert got == [None] * 5 + [2.5, -5.0, 7.0] + [None] * 2
+
+
+def test_article_with_null_content_is_found(spark):
+    articles = spark.createDataFrame([(1, None, None, None, None)], "article_id bigint, url string, title string, content string, label int")
+    ids = spark.createDataFrame([(1,), (2,)], "article_id bigint")
+    found = {r["article_id"]: r["found"] for r in profiling.lookup_articles(articles, ids).collect()}
+    assert found == {1: True, 2: False}
+
+
+def test_failed_reply_is_an_error_row(spark):
+    from claimweave.plans.verification import respond
+
+    claims = spark.createDataFrame([(i, "c") for i in range(3)], "claim_id bigint, claim string").withColumns(
+        {"entities": F.array(F.lit("e")), "numbers_dates": F.array(F.lit("1"))}
+    )
+    fields = "claim_id bigint, rank int, evidence_id string, article_id bigint, title string, content string, url string, evidence_type string, strong_evidence boolean"
+    replies = spark.createDataFrame([(0, "broken"), (1, '{"verdict": "REAL", "confidence": true}')], "claim_id bigint, raw string")
+    got = {r["claim_id"]: r for r in respond(claims, spark.createDataFrame([], fields), replies).collect()}
+    assert (got[0]["verdict"], got[0]["confidence"], got[0]["error"]) == (None, None, "no valid JSON")
+    assert (got[1]["verdict"], got[1]["confidence"], got[1]["error"]) == ("REAL", 1.0, None)
+    assert got[2]["error"] == "no reply"
