@@ -351,7 +351,7 @@ _PW = f"list_filter(regexp_extract_all({sql.fold('content')}, '{sql.TOKEN}'), la
 
 @register("text_important_phrases", query(
     "SELECT article_id, array_to_string((" + sql.distinct(f"list_concat({sql.ngrams('w', 4, 12)}, {sql.ngrams('w', 3, 10)}, {sql.ngrams('w', 2, 8)}, {sql.ngrams('w', 1, 7)})")
-    + f")[1:15], '|') AS phrases FROM (SELECT article_id, {_PW.replace('content', 'title')} AS w FROM articles)", "articles"))
+    + f"), '|') AS phrases FROM (SELECT article_id, {_PW.replace('content', 'title')} AS w FROM articles)", "articles"))
 def _(spark, d):
     normal = views.articles(spark, d).select("article_id", text.normalize_text(F.col("title")).alias("n"))
     return normal.select("article_id", joined(text.important_phrases(F.col("n"))).alias("phrases"))
@@ -753,6 +753,22 @@ def _(spark, d):
     return verdict.build_prompts(claims, verdict.evidence_blocks(claims, _evidence(spark, d)))
 
 
+@register("article_windows_preset", query(
+    "SELECT article_id, md5(content_w) AS content_w, md5(entity_w) AS entity_w, md5(event_w) AS event_w, md5(fact_w) AS fact_w, "
+    "md5(identity_content) AS identity_content FROM fixed_windows", "fixed_windows"))
+def _(spark, d):
+    cut = index_store.article_windows(views.articles(spark, d), index_store.FIXED_WINDOWS)
+    return cut.select("article_id", *[F.md5(c).alias(c) for c in ("content_w", "entity_w", "event_w", "fact_w", "identity_content")])
+
+
+@register("claim_phrases_preset", query(
+    "SELECT claim_id, array_to_string((" + sql.distinct("pp") + ")[1:30], '|') AS phrases FROM (SELECT claim_id, list_concat(("
+    + sql.distinct("grams") + ")[1:15], all_vars) AS pp FROM prep3)", "prep3"))
+def _(spark, d):
+    limited = candidates.claim_phrases(views.claims(spark, d), own_phrases=15, phrases=30)
+    return limited.select("claim_id", joined("phrases").alias("phrases"))
+
+
 @register("verdict_validated", query(
     "SELECT claim_id, CASE WHEN error IS NULL THEN verdict END AS verdict, CASE WHEN error IS NULL THEN confidence END AS confidence, "
     "CASE WHEN error IS NULL THEN explanation END AS explanation, CASE WHEN error IS NULL THEN coalesce(own_summary, explanation) END AS summary, error FROM verdicts", "verdicts"))

@@ -127,7 +127,7 @@ SELECT c.claim_id, v.v FROM claims c JOIN vectors v
 
 cte("queries", "claims", """
 SELECT *, concat(claim, '. ', source_title, '. ', array_to_string(entities, ' '), '. ', array_to_string(numbers_dates, ' ')) AS q_semantic,
-  concat(source_title, ' ', substr(source_content, 1, 3500)) AS q_original,
+  concat(source_title, ' ', source_content) AS q_original,
   concat(claim, ' ', array_to_string(entities, ' '), ' ', array_to_string(numbers_dates, ' ')) AS q_claim
 FROM claims WHERE trim(claim) <> ''""")
 cte("prep1", "queries", f"""
@@ -147,25 +147,31 @@ SELECT *, list_filter(tokens, lambda t: NOT list_contains({words(lx.GENERIC_EVEN
   flatten(vars) AS all_vars
 FROM prep2""")
 cte("prep4", "prep3", f"""
-SELECT *, list_concat(({distinct('grams')})[1:15], all_vars) AS phr, list_filter(all_vars, lambda v: length(v) >= 3) AS idv
+SELECT *, list_concat(({distinct('grams')}), all_vars) AS phr, list_filter(all_vars, lambda v: length(v) >= 3) AS idv
 FROM prep3""")
 cte("prepared", "prep4", f"""
 SELECT claim_id, claim, exclude_article_id, q_original, q_claim, entities, names, vars, specific, numbers, tokens,
   CASE WHEN len(specific_tokens) > 0 THEN specific_tokens ELSE tokens END AS distinctive,
-  ({distinct('phr')})[1:30] AS phrases, list_filter(({distinct('phr')})[1:30], lambda p: contains(p, ' ')) AS multi,
+  ({distinct('phr')}) AS phrases, list_filter(({distinct('phr')}), lambda p: contains(p, ' ')) AS multi,
   {distinct('idv')} AS identity_variants
 FROM prep4""")
 
 
-def window(n: int) -> str:
-    return fold(f"concat(coalesce(title, ''), ' ', substr(coalesce(content, ''), 1, {n}))")
+def window(n: int | None = None) -> str:
+    content = "coalesce(content, '')"
+    return fold(f"concat(coalesce(title, ''), ' ', {f'substr({content}, 1, {n})' if n else content})")
 
 
 cte("windows", "articles", f"""
-SELECT article_id, {fold('title')} AS title_n, {fold('substr(content, 1, 7000)')} AS content_w,
-  {window(5000)} AS entity_w, {window(7000)} AS event_w, {window(1500)} AS fact_w,
-  regexp_replace({window(7000)}, '[^\\p{{Nd}}]', '', 'g') AS event_digits,
-  substr({fold('content')}, 1, 7000) AS identity_content
+SELECT article_id, {fold('title')} AS title_n, {fold('content')} AS content_w,
+  {window()} AS entity_w, {window()} AS event_w, {window()} AS fact_w,
+  regexp_replace({window()}, '[^\\p{{Nd}}]', '', 'g') AS event_digits,
+  {fold('content')} AS identity_content
+FROM articles""")
+# The preset lengths, by article.
+cte("fixed_windows", "articles", f"""
+SELECT article_id, {fold('substr(content, 1, 7000)')} AS content_w, {window(5000)} AS entity_w, {window(7000)} AS event_w,
+  {window(1500)} AS fact_w, substr({fold('content')}, 1, 7000) AS identity_content
 FROM articles""")
 
 
@@ -227,7 +233,7 @@ SELECT * FROM (SELECT p.claim_id, p.exclude_article_id, p.phrases, p.numbers, w.
   {found('p.identity_variants', "concat(w.title_n, ' ', w.identity_content)")} AS hits FROM prepared p, windows w) WHERE hits > 0""")
 cte("identity", "id_hits", f"""
 SELECT claim_id, article_id, hits FROM (
-  SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY article_id) AS position FROM id_hits
+  SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY hits DESC, article_id) AS position FROM id_hits
   WHERE article_id IS DISTINCT FROM exclude_article_id AND (hits >= 2
     OR {ratio("len(list_filter(phrases, lambda p: contains(title_n, p) OR contains(identity_content, p)))", 'len(phrases)')} >= 0.15
     OR {ratio(_NUMBERS.format(text="concat(title_n, ' ', identity_content)", digits="regexp_replace(concat(title_n, ' ', identity_content), '[^\\p{Nd}]', '', 'g')"), 'len(numbers)')} >= 0.20))

@@ -147,7 +147,12 @@ def _longer_than(least: int):
     return lambda p: F.length(p) >= least
 
 
-def important_phrases(normalized: Column, limit: int = 15) -> Column:
+def at_most(items: Column, limit: int | None) -> Column:
+    """The first ``limit`` items of an array, all without a limit."""
+    return F.slice(items, 1, limit) if limit else items
+
+
+def important_phrases(normalized: Column, limit: int | None = None) -> Column:
     """Distinctive phrases of a normalised claim: longer n-grams first, first-seen distinct."""
     words = F.filter(
         drop_stopwords(tokens(normalized), lexicons.RETRIEVAL_STOPWORDS), lambda w: F.length(w) >= 3
@@ -157,7 +162,7 @@ def important_phrases(normalized: Column, limit: int = 15) -> Column:
 
     def phrases(w):
         grams = [F.filter(word_ngrams(w, n), _longer_than(m)) for n, m in sizes]
-        return F.slice(F.array_distinct(F.concat(*grams)), 1, limit)
+        return at_most(F.array_distinct(F.concat(*grams)), limit)
 
     return bind(words, phrases)
 

@@ -7,15 +7,14 @@ pool; every pooled pair carries all scores, whichever channel proposed it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimweave.functions import lexicons
 from claimweave.functions.text import (
+    at_most,
     digits,
     drop_stopwords,
     entity_variants,
@@ -35,11 +34,6 @@ from claimweave.operators.vectors import SCORE_DECIMALS, best_scores, dot
 from claimweave.scale import BROADCAST_BYTES, Measured, materialize, maybe_broadcast
 from claimweave.sources.index_store import SearchIndex
 
-try:
-    import ahocorasick
-except ImportError:  # the equi-join on anchors below then serves every batch size
-    ahocorasick = None
-
 
 @dataclass(frozen=True)
 class Depths:
@@ -61,8 +55,12 @@ class Depths:
 # --- claims --------------------------------------------------------------------------
 
 
-def build_queries(claims: DataFrame) -> DataFrame:
-    """Query texts of every claim with a non-blank text."""
+def build_queries(claims: DataFrame, source_chars: int | None = None) -> DataFrame:
+    """Query texts of every claim with a non-blank text.
+
+    The whole source text counts, or its first ``source_chars`` characters (3500 in the behaviour being
+    matched).
+    """
     claim, title = text_or_blank(F.col("claim")), text_or_blank(F.col("source_title"))
     content = text_or_blank(F.col("source_content"))
     entities, numbers = F.array_join("entities", " "), F.array_join("numbers_dates", " ")
@@ -73,22 +71,30 @@ def build_queries(claims: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "q_semantic": F.concat_ws(". ", claim, title, entities, numbers),
-                "q_original": F.concat_ws(" ", title, F.substring(content, 1, 3500)),
+                "q_original": F.concat_ws(
+                    " ", title, F.substring(content, 1, source_chars) if source_chars else content
+                ),
                 "q_claim": F.concat_ws(" ", claim, entities, numbers),
             }
         )
     )
 
 
-def prepare_claims(claims: DataFrame) -> DataFrame:
-    """Queries plus the arrays the match signals use, each computed once per claim."""
+def prepare_claims(
+    claims: DataFrame, source_chars: int | None = None, own_phrases: int | None = None, phrases: int | None = None
+) -> DataFrame:
+    """Queries plus the arrays the match signals use, each computed once per claim.
+
+    ``own_phrases`` limits the phrases of the claim text and ``phrases`` those with the entity variants
+    (15 and 30 in the behaviour being matched); without limits all count.
+    """
 
     def named(entities):
         return F.transform(
             entities, lambda e: F.struct(e.alias("name"), entity_variants(e).alias("variants"))
         )
 
-    with_text = build_queries(claims).withColumns(
+    with_text = build_queries(claims, source_chars).withColumns(
         {
             "claim_n": normalize_text(F.col("claim")),
             "entities_x": nfkc_array(F.col("entities")),
@@ -127,8 +133,8 @@ def prepare_claims(claims: DataFrame) -> DataFrame:
             "distinctive": F.when(F.size("not_generic") > 0, F.col("not_generic")).otherwise(
                 F.col("claim_tokens")
             ),
-            "phrases": F.slice(
-                F.array_distinct(F.concat(important_phrases(F.col("claim_n")), variants)), 1, 30
+            "phrases": at_most(
+                F.array_distinct(F.concat(important_phrases(F.col("claim_n"), own_phrases), variants)), phrases
             ),
             "identity_variants": F.array_distinct(F.filter(variants, lambda v: F.length(v) >= 3)),
         }
@@ -138,8 +144,9 @@ def prepare_claims(claims: DataFrame) -> DataFrame:
     ).drop("claim_n", "entities_x", "numbers_x", "names", "numbers_n", "all_tokens", "not_generic")
 
 
-def claim_phrases(claims: DataFrame) -> DataFrame:
-    return prepare_claims(claims).select("claim_id", "phrases")
+def claim_phrases(claims: DataFrame, own_phrases: int | None = None, phrases: int | None = None) -> DataFrame:
+    limited = prepare_claims(claims, own_phrases=own_phrases, phrases=phrases)
+    return limited.select("claim_id", "phrases")
 
 
 # --- identity channel ----------------------------------------------------------------
@@ -149,45 +156,12 @@ def _identity_text():
     return F.concat_ws(" ", "title_n", "identity_content")
 
 
-def _hits_by_automaton(prepared: DataFrame, windows: DataFrame) -> DataFrame:
-    """Entity hits by one scan of the articles, for a claim batch small enough to broadcast."""
-    spark = windows.sparkSession
-    wanted = prepared.select("claim_id", F.explode("identity_variants").alias("variant"))
-    owners = spark.sparkContext.broadcast(
-        [(r["variant"], r["claims"]) for r in wanted.groupBy("variant").agg(
-            F.collect_set("claim_id").alias("claims")).toLocalIterator()]
-    )
-
-    @F.pandas_udf("array<struct<claim_id:bigint,hits:int>>")
-    def find(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = ahocorasick.Automaton()
-        for variant, claims in owners.value:
-            automaton.add_word(variant, (variant, claims))
-        searchable = len(owners.value) > 0
-        if searchable:
-            automaton.make_automaton()
-
-        def hits(text):
-            counts = {}
-            if searchable:
-                for claims in dict(value for _, value in automaton.iter(text)).values():
-                    for claim in claims:
-                        counts[claim] = counts.get(claim, 0) + 1
-            return [{"claim_id": c, "hits": n} for c, n in counts.items()]
-
-        for series in texts:
-            yield series.map(hits)
-
-    found = windows.select(
-        "article_id", "title_n", "identity_content", F.explode(find(_identity_text())).alias("hit")
-    )
-    return found.select("article_id", "title_n", "identity_content", "hit.claim_id", "hit.hits")
-
-
-def _hits_by_anchor(
+def identity_hits(
     prepared: DataFrame, windows: DataFrame, vocabulary_char: DataFrame
 ) -> DataFrame:
-    """Entity hits for any number of claims, by equi-joins.
+    """(article_id, title_n, identity_content, claim_id, hits): distinct variants found, at least one.
+
+    Equi-joins serve any number of claims.
 
     A text that contains a variant contains each of its three-character runs. Every variant
     is looked up by one of them, the rarest known, and verified with a literal test; which
@@ -225,15 +199,6 @@ def _hits_by_anchor(
     )
 
 
-def identity_hits(
-    prepared: DataFrame, windows: DataFrame, vocabulary_char: DataFrame, small: bool
-) -> DataFrame:
-    """(article_id, title_n, identity_content, claim_id, hits): distinct variants found, at least one."""
-    if small and ahocorasick is not None:
-        return _hits_by_automaton(prepared, windows)
-    return _hits_by_anchor(prepared, windows, vocabulary_char)
-
-
 def identity_candidates(
     prepared: DataFrame,
     windows: DataFrame,
@@ -243,10 +208,10 @@ def identity_candidates(
 ) -> DataFrame:
     """Articles that name two entities of a claim, or one next to a phrase or number of it.
 
-    The first ``limit`` articles of the corpus order are kept per claim; the limit is
-    applied inside each task before rows are shuffled.
+    The ``limit`` articles with most hits are kept per claim, ties by id; the limit is applied
+    inside each task before rows are shuffled.
     """
-    hits = identity_hits(prepared, windows, vocabulary_char, small)
+    hits = identity_hits(prepared, windows, vocabulary_char)
     claim_side = prepared.select(
         "claim_id", "exclude_article_id", F.col("phrases"), F.col("numbers_s")
     )
@@ -256,7 +221,7 @@ def identity_candidates(
         | (signals.phrase_match(F.col("phrases"), F.col("title_n"), F.col("identity_content")) >= 0.15)
         | (signals.number_date_match(F.col("numbers_s"), text, digits(text)) >= 0.20)
     )
-    order = Window.partitionBy("claim_id").orderBy("article_id")
+    order = Window.partitionBy("claim_id").orderBy(F.desc("hits"), "article_id")
     return (
         hits.join(maybe_broadcast(claim_side, small), "claim_id")
         .where(~F.col("article_id").eqNullSafe(F.col("exclude_article_id")))

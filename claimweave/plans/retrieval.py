@@ -28,8 +28,7 @@ CANDIDATE_COLUMNS = [
 
 def broadcastable(claims: DataFrame, depths: Depths = Depths()) -> tuple[bool, bool]:
     """Whether claim-side data, and the candidate pool, of a measured claim batch may be broadcast."""
-    # queries use at most this much of a source text
-    batch = measure(claims.withColumn("source_content", F.substring("source_content", 1, 3500)))
+    batch = measure(claims)
     return batch.fits(CLAIM_GROWTH), candidates.pool_fits(batch, depths)
 
 

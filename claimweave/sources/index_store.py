@@ -56,16 +56,30 @@ class SearchIndex:
         )
 
 
-def article_windows(articles: DataFrame) -> DataFrame:
-    """Normalised text windows that the match signals look at, computed once per article.
+@dataclass(frozen=True)
+class Windows:
+    """Characters of the content that each match signal sees; None is the whole content."""
+
+    content: int | None = None
+    entity: int | None = None
+    event: int | None = None
+    fact: int | None = None
+    identity: int | None = None
+
+
+# The lengths of the behaviour being matched.
+FIXED_WINDOWS = Windows(content=7000, entity=5000, event=7000, fact=1500, identity=7000)
+
+
+def article_windows(articles: DataFrame, windows: Windows = Windows()) -> DataFrame:
+    """Normalised texts that the match signals look at, computed once per article.
 
-    The window lengths are part of the signal definitions. All cut first and normalise
-    afterwards, except the identity window, which normalises first.
+    Windows cut first and normalise afterwards, except the identity window, which normalises first.
     """
     title, content = text_or_blank(F.col("title")), text_or_blank(F.col("content"))
 
-    def head(n):
-        return F.substring(content, 1, n)
+    def head(n, text=content):
+        return F.substring(text, 1, n) if n else text
 
     def joined(n):
         return normalize_text(F.concat_ws(" ", title, head(n)))
@@ -73,11 +87,11 @@ def article_windows(articles: DataFrame) -> DataFrame:
     cut = articles.select(
         "article_id",
         normalize_text(title).alias("title_n"),
-        normalize_text(head(7000)).alias("content_w"),
-        joined(5000).alias("entity_w"),
-        joined(7000).alias("event_w"),
-        joined(1500).alias("fact_w"),
-        F.substring(fold(nfkc(content)), 1, 7000).alias("identity_content"),
+        normalize_text(head(windows.content)).alias("content_w"),
+        joined(windows.entity).alias("entity_w"),
+        joined(windows.event).alias("event_w"),
+        joined(windows.fact).alias("fact_w"),
+        head(windows.identity, fold(nfkc(content))).alias("identity_content"),
     )
     return cut.withColumn("event_digits", digits(F.col("event_w")))
 
@@ -120,7 +134,12 @@ def _load_bucketed(spark: SparkSession, directory: str, name: str, buckets: int)
 
 
 def save_index(
-    articles: DataFrame, vectors: DataFrame, directory: str, buckets: int = 8, **config
+    articles: DataFrame,
+    vectors: DataFrame,
+    directory: str,
+    buckets: int = 8,
+    windows: Windows = Windows(),
+    **config,
 ) -> None:
     """Build and write the whole index. Choose ``buckets`` near postings bytes / 512 MB."""
     spark = articles.sparkSession
@@ -128,7 +147,7 @@ def save_index(
     _save_bucketed([articles.select(*ARTICLE_COLUMNS)], directory, "articles", buckets)
     # from here on every step reads the hashed copy and keeps its partitioning
     articles = _load_bucketed(spark, directory, "articles", buckets)
-    _save_bucketed([article_windows(articles)], directory, "windows", buckets, True)
+    _save_bucketed([article_windows(articles, windows)], directory, "windows", buckets, True)
     vector_columns = vectors.select(
         F.col("article_id").cast("bigint").alias("article_id"), F.col("embedding").cast("array<float>")
     )
