@@ -186,10 +186,11 @@ def mixed_documents(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     Columns are those of the input; ``n_chars`` follows the text. Documents without words are
     never taken.
     """
-    size, = unused(documents.columns, "_words")
     columns = documents.columns
-    sized = documents.withColumn(size, word_count(F.col("text")))
-    mixed = mix_sources(sized, "source", size, [c for c in ("doc_id", "text") if c in columns], mix)
+    size, mark = unused(columns, "_words", "_mark")
+    # A hash of the text draws the order, so that the text itself moves only once.
+    sized = documents.withColumn(size, word_count(F.col("text"))).withColumn(mark, F.xxhash64("text"))
+    mixed = mix_sources(sized, "source", size, ["doc_id", mark], mix)
     words = F.regexp_extract_all(F.col("text"), F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0))
     part = lambda a, n: F.array_join(F.slice(words, a, n), "")
     none = F.array().cast("array<string>")

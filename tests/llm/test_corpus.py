@@ -115,8 +115,8 @@ def test_mixed_documents(spark):
     out = mixing.mixed_documents(df)
     assert out.columns == df.columns
     words = Counter(w for r in out.collect() for w in r.text.split())
-    counted = df.withColumn("size", mixing.word_count(F.col("text")))
-    taken = {r.doc_id: r.taken for r in mixing.mix_sources(counted, "source", "size", ["doc_id", "text"]).collect()}
+    counted = df.withColumn("size", mixing.word_count(F.col("text"))).withColumn("mark", F.xxhash64("text"))
+    taken = {r.doc_id: r.taken for r in mixing.mix_sources(counted, "source", "size", ["doc_id", "mark"]).collect()}
     per = Counter()
     for w, n in words.items():
         per[int(w.split(".")[0])] += n
