@@ -18,7 +18,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Texts are encoded in groups of about this many characters, the library gets so many words at once,
 # and so many words are cached.
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 21
 CALL_WORDS = 2048
 CACHE_WORDS = 500_000
 LONG_WORD = 11
@@ -90,7 +90,8 @@ class Encoder:
             base = w.rstrip(".,")
             if base and base != w and base.isalpha():
                 cut[w] = base
-        parts = (set(cut.values()) | {w[len(base):] for w, base in cut.items()} | (words - cut.keys())) - self.cache.keys()
+        # difference() looks words up in the cache; a minus sign would walk through all of it.
+        parts = set(cut.values()).union([w[len(base):] for w, base in cut.items()], words.difference(cut)).difference(self.cache)
         plain = [p for p in parts if p.isalpha()]
         other = [p for p in parts if not p.isalpha()]
         cache = self.cache
@@ -112,7 +113,7 @@ class Encoder:
         every = set().union(*[words for _, words in split])
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        passing = self._learn(every - self.cache.keys())
+        passing = self._learn(every.difference(self.cache))
         get = self.cache.__getitem__
         for i, words in split:
             out[i] = b"".join(map(get, words))
@@ -144,7 +145,7 @@ def groups(texts: list[str], chars: int = GROUP_CHARS) -> Iterator[tuple[int, li
         at = to
 
 
-def text_batches(column, rows: int = 512) -> Iterator[tuple[int, list[str]]]:
+def text_batches(column, rows: int = 1024) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of an Arrow string column in bounded groups; null is the empty text."""
     for at in range(0, len(column), rows):
         texts = [x or "" for x in column.slice(at, rows).to_pylist()]
