@@ -19,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from claimweave.llm import jaccard_join, mixing, packing, personal_data, quality  # noqa: E402
 from claimweave.llm.tables import materialize, read_table  # noqa: E402
+from claimweave.scale import maybe_broadcast, measure  # noqa: E402
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +30,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose id names their component; those without words are components of their own."""
     joined = jaccard_join.join_documents(docs)
-    first = joined.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    stays = first.withColumnRenamed("doc_id", "_first")
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+    first = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = joined.groupBy(F.col("doc_id").alias("_gone")).agg(first.alias("first")).where("not first").select("_gone")
+    gone = materialize(gone, "later_copies")
+    # The texts move only if the ids of the later copies are too many to send to every task.
+    small = measure(gone).fits(limit=32 << 20)
+    return docs.join(maybe_broadcast(gone, small), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
