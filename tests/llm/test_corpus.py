@@ -328,6 +328,33 @@ def test_picks_hidden_spans_and_keeps_base_ones(spark):
 # --- quality --------------------------------------------------------------------------------
 
 
+def test_few_base_spans_teach_every_hidden_form(spark):
+    rng = random.Random(3)
+    names = ["bob", "ann.lee", "carla7", "d.moor", "eve_k", "frank"]
+
+    def number(n):
+        return "".join(str(rng.randrange(1, 10)) for _ in range(n))
+
+    def quad():
+        return ".".join(str(rng.randrange(1, 256)) for _ in range(4))
+
+    texts = []
+    for i in range(16):
+        texts += [f"pay {card(rng)} now", f"mail {rng.choice(names)}@host{i}.example.com today", f"host {quad()} up",
+                  f"call +{rng.randrange(1, 10)} ({number(3)}) {number(3)}-{number(4)} now",
+                  "we met at noon. Then (at) last", f"on 2020-1{i % 3}-12 1{i % 10} it ended"]
+    hidden = [("card", "ref 12 ", card(rng), " end"), ("ip", "node 999.", quad(), " up"),
+              ("phone", "call ", f"1 ({number(3)}) {number(3)}-{number(4)}", " now"),
+              ("email", "mail ", "greta (at) host3 (dot) example (dot) com", " today")]
+    rows = [(i, t, "s") for i, t in enumerate([*texts, *("".join(h[1:]) for h in hidden)])]
+    df = frame(spark, rows)
+    found = {r.doc_id: r.spans for r in personal_data.find(df, personal_data.fit(df)).collect()}
+    for i, (kind, before, span, _) in enumerate(hidden, len(texts)):
+        assert found[i] == f"{kind}:{len(before)}:{len(before + span)}", rows[i]
+    for i, text in enumerate(texts):
+        assert found[i] == ",".join("%s:%d:%d" % s for s in plain_spans(text)), text
+
+
 def test_negative_risk_separates_junk():
     rng = np.random.default_rng(5)
     good, junk = rng.normal(0, 1, (3000, 4)), rng.normal(3, 1, (700, 4))
