@@ -51,19 +51,20 @@ def _digest(tokens: np.ndarray) -> int:
 
 
 def set_sizes(documents: DataFrame) -> DataFrame:
-    """(doc_id, digest, n): size of every document's shingle set, and a number equal for equal sets."""
+    """(doc_id, mark, digest, n): hash of every text, size of its shingle set, and a number equal for equal sets."""
 
     def sizes(batches):
         for batch in batches:
             sets = column_sets(batch.column(1))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0),
+                "mark": batch.column(2),
                 "digest": pa.array([_digest(s) for s in sets], pa.int64()),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
             })
 
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(sizes, "doc_id bigint, digest bigint, n bigint")
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("mark"))
+    return rows.mapInArrow(sizes, "doc_id bigint, mark bigint, digest bigint, n bigint")
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -373,13 +374,11 @@ def _compare(held: pa.Table, asking: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def join_documents(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document.
+def labelled_rows(documents: DataFrame) -> DataFrame:
+    """(doc_id, mark, n, label, component_id) of every row.
 
-    ``component_id`` is the smallest doc_id reachable by links, the document's own included.
-    Texts without words, and null texts, have no shingles, link with nothing and are their own component.
-    Repeated rows and equal texts link; null ids keep their rows and never name a component unless
-    it has no other id. Other columns play no part.
+    ``mark`` is ``xxhash64`` of the text. ``label`` is a number equal within a component and
+    independent of ids; it and ``component_id`` are null for texts without words.
     """
     sizes = materialize(set_sizes(documents), "join_sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
@@ -387,9 +386,19 @@ def join_documents(documents: DataFrame) -> DataFrame:
     linked = links(documents, total)
     grouped = least.join(linked, least["digest"] == linked["node"], "left").withColumn("label", F.coalesce("root", "digest"))
     ids = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
-    of_digest = grouped.join(ids, "label").select("digest", "component_id")
-    named = sizes.join(of_digest, "digest", "left")
-    return named.select(
+    of_digest = grouped.join(ids, "label").select("digest", "label", "component_id")
+    return sizes.join(of_digest, "digest", "left").select("doc_id", "mark", "n", "label", "component_id")
+
+
+def join_documents(documents: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document.
+
+    ``component_id`` is the smallest doc_id reachable by links, the document's own included.
+    Texts without words, and null texts, have no shingles, link with nothing and are their own component.
+    Repeated rows and equal texts link; null ids keep their rows and never name a component unless
+    it has no other id. Other columns play no part.
+    """
+    return labelled_rows(documents).select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )

@@ -404,3 +404,25 @@ def test_pipeline_stages(spark, data):
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, data)
     ids = library_ids([r.text for r in docs.collect()])
     assert pieces.agg(F.sum("length")).first()[0] == sum(len(x) + 1 for x in ids)
+
+
+def test_one_row_of_a_group_stays(spark):
+    def prose(i, n=60):
+        return " ".join(f"w{i}x{j}" for j in range(n))
+
+    near = prose(1) + " more"
+    rows = [
+        (5, prose(0), "a"), (5, prose(0), "a"), (5, prose(0), "b"),  # repeated rows
+        (2, prose(1), "a"), (None, near, "a"), (None, prose(1), "a"),  # null ids beside one
+        (None, prose(2), "a"), (None, prose(2), "a"), (None, prose(2) + " more", "a"),  # null ids only
+        (7, prose(3), "a"), (7, prose(4), "a"), (6, prose(4), "a"),  # one id, two texts
+        (None, prose(5), "a"), (None, "", "a"), (None, None, "a"), (8, "  ", "a"),
+    ]
+    docs = frame(spark, rows)
+    kept = corpus_pipeline.keep_first_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    of_two = [(None, t) for t in (prose(2), prose(2) + " more") if (None, t) in found]
+    assert len(of_two) == 1
+    rest = [(5, prose(0)), (2, prose(1)), (7, prose(3)), (6, prose(4)), (None, prose(5)), (None, ""), (None, None), (8, "  ")]
+    assert found == sorted(rest + of_two, key=str)
