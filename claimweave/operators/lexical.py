@@ -19,6 +19,7 @@ from claimweave.functions.text import INDEX_TOKEN, bind, search_text, tokens, wo
 from claimweave.scale import (
     all_salts,
     materialize,
+    measure,
     salt_of,
     salts_for,
     with_row_index,
@@ -34,13 +35,14 @@ class Analyzer:
 
     min_df: int
     max_df: float | None
-    max_terms: int
 
 
 ANALYZERS = {
-    WORD: Analyzer(min_df=2, max_df=0.98, max_terms=300_000),
-    CHAR: Analyzer(min_df=3, max_df=None, max_terms=200_000),
+    WORD: Analyzer(min_df=2, max_df=0.98),
+    CHAR: Analyzer(min_df=3, max_df=None),
 }
+# The preset of most terms per channel.
+FIXED_TERMS = {WORD: 300_000, CHAR: 200_000}
 
 
 def word_terms(text: Column) -> Column:
@@ -120,27 +122,37 @@ def weigh_terms(terms: DataFrame, n_articles: int) -> DataFrame:
     )
 
 
-def fit_vocabulary(postings: DataFrame, n_articles: int, channel: str) -> DataFrame:
-    """(term, df, total, idf, salts): pruned, capped, weighed."""
+def fit_vocabulary(
+    postings: DataFrame, n_articles: int, channel: str, max_terms: int | None = None
+) -> DataFrame:
+    """(term, df, total, idf, salts): pruned, weighed, and capped only if ``max_terms`` is given."""
     analyzer = ANALYZERS[channel]
     kept = materialize(
         prune_df(document_frequency(postings), n_articles, analyzer), f"terms_{channel}"
     )
     # the count comes from file metadata; ranking is needed only beyond the cap
-    if kept.count() > analyzer.max_terms:
-        kept = cap_vocabulary(kept, analyzer.max_terms)
+    if max_terms is not None and kept.count() > max_terms:
+        kept = cap_vocabulary(kept, max_terms)
     return weigh_terms(kept, n_articles)
 
 
 def tfidf(counts: DataFrame, vocabulary: DataFrame, key: str = "article_id") -> DataFrame:
     """Unit-length weighted postings (key, term, w, salts).
 
-    The vocabulary is broadcast: its size is capped by the index itself (300,000 terms of a
-    few dozen bytes). The norm is a window over the key that ``counts`` is partitioned by.
+    A vocabulary is broadcast only if it is measured small. Otherwise both sides shuffle on the term, and
+    a term found in very many articles is spread over its salts. The norm is a window over the
+    key that ``counts`` is partitioned by.
     """
-    raw = counts.join(F.broadcast(vocabulary.select("term", "idf", "salts")), "term").withColumn(
-        "raw", (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf")
-    )
+    terms = vocabulary.select("term", "idf", "salts")
+    if measure(terms).fits():
+        joined = counts.join(F.broadcast(terms), "term")
+    else:
+        # A hot term has over a million articles, so these are few.
+        hot = terms.where("salts > 1").select("term", F.col("salts").alias("_salts"))
+        salt = salt_of(F.col(key), F.coalesce(F.col("_salts"), F.lit(1)))
+        dealt = counts.join(F.broadcast(hot), "term", "left").withColumn("_salt", salt).drop("_salts")
+        joined = dealt.join(terms.withColumn("_salt", all_salts(F.col("salts"))), ["term", "_salt"]).drop("_salt")
+    raw = joined.withColumn("raw", (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return raw.select(key, "term", (F.col("raw") / norm).alias("w"), "salts")
 

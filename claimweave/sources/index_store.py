@@ -139,9 +139,13 @@ def save_index(
     directory: str,
     buckets: int = 8,
     windows: Windows = Windows(),
+    max_terms: dict[str, int] | None = None,
     **config,
 ) -> None:
-    """Build and write the whole index. Choose ``buckets`` near postings bytes / 512 MB."""
+    """Build and write the whole index. Choose ``buckets`` near postings bytes / 512 MB.
+
+    ``max_terms`` caps the vocabulary of a channel, as ``lexical.FIXED_TERMS`` does; without it all terms stay.
+    """
     spark = articles.sparkSession
     require_columns(articles)
     _save_bucketed([articles.select(*ARTICLE_COLUMNS)], directory, "articles", buckets)
@@ -160,7 +164,7 @@ def save_index(
         _save_bucketed([lexical.term_counts(texts, channel)], directory, counts_name, buckets, True)
         counts = _load_bucketed(spark, directory, counts_name, buckets)
         path = f"{directory}/vocabulary_{channel}"
-        lexical.fit_vocabulary(counts, n, channel).write.mode("overwrite").parquet(path)
+        lexical.fit_vocabulary(counts, n, channel, (max_terms or {}).get(channel)).write.mode("overwrite").parquet(path)
         weighted = lexical.tfidf(counts, spark.read.parquet(path))
         postings.append(
             weighted.select("article_id", F.lit(channel).alias("channel"), "term", "w", "salts")

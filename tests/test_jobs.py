@@ -106,6 +106,26 @@ def test_tfidf_and_cap(spark):
     assert rows(lexical.cap_vocabulary(terms, 4), "term") == sorted((r["term"],) for r in best)
 
 
+def test_vocabulary_is_whole_unless_capped(spark, monkeypatch):
+    # As many terms as the preset and one more.
+    n = lexical.FIXED_TERMS["char"] + 1
+    counts = spark.range(3 * n).select(
+        (F.col("id") % 3).alias("article_id"), (F.col("id") / 3).cast("bigint").cast("string").alias("term"), F.lit(1).alias("tf")
+    )
+    whole = lexical.fit_vocabulary(counts, 3, "char")
+    assert whole.count() == n
+    assert lexical.fit_vocabulary(counts, 3, "char", lexical.FIXED_TERMS["char"]).count() == n - 1
+    few = counts.where("term < '1005'")
+    terms = whole.where("term < '1005'").withColumn("salts", F.when(F.col("term") == "1", 3).otherwise(1))
+
+    def weights():
+        return rows(lexical.tfidf(few, terms).withColumn("w", F.round("w", 8)), "article_id", "term", "w", "salts")
+
+    small = weights()
+    monkeypatch.setattr(lexical.measure(terms).__class__, "fits", lambda *a, **k: False)
+    assert weights() == small and small
+
+
 def test_vector_topk_blocks(spark, data, monkeypatch):
     own = views.article_vectors(spark, data)
     asked = own.select(F.col("article_id").alias("query_id"), "embedding", F.col("article_id").alias("exclude_article_id"))
