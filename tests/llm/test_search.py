@@ -131,3 +131,80 @@ def test_packed_numbers_come_back():
     assert collocations.unpack(collocations.pack(ids)).tolist() == ids.tolist()
     keys = np.array([-5, 0, 7, 1 << 60])
     assert collocations.unpack_sorted(collocations.pack_sorted(keys)).tolist() == keys.tolist()
+
+
+def linked(rows, threshold=0.9):
+    """Links, component and first id of every row, by comparing all rows."""
+    good = [i for i, (_, v) in enumerate(rows) if v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    links = [[] for _ in rows]
+    unit = {i: np.array(rows[i][1], np.float64) / np.linalg.norm(np.array(rows[i][1], np.float64)) for i in good}
+    for i in good:
+        links[i] = [j for j in good if j != i and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= threshold]
+    out = []
+    for i, (own, _) in enumerate(rows):
+        seen, stack = {i}, [i]
+        while stack:
+            for j in links[stack.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    stack.append(j)
+        ids = [rows[j][0] for j in seen if rows[j][0] is not None]
+        first = min(ids) if ids else None
+        out.append((own, len(links[i]), first, own == first))
+    return sorted(out, key=str)
+
+
+def found_links(spark, rows, kind="float", **options):
+    from claimweave.llm import near_vectors
+
+    df = spark.createDataFrame(rows, f"vec_id bigint, embedding array<{kind}>").selectExpr("*", "1 AS node", "'k' AS key", "2 AS copies")
+    result, recall = near_vectors.link_vectors(df, **options)
+    return sorted((tuple(r) for r in result.collect()), key=str), recall
+
+
+def cloud(rng, center, n, spread):
+    return center + rng.normal(size=(n, len(center))) * spread / math.sqrt(len(center))
+
+
+def floats(x):
+    return [float(np.float32(v)) for v in x]
+
+
+def test_near_vectors_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    vectors = [v for n in (1, 2, 5, 40, 12) for v in cloud(rng, rng.normal(size=16), n, 0.25 * 4 if n == 40 else 0.5)]
+    vectors += list(rng.normal(size=(250, 16))) + [vectors[3]] * 4 + [vectors[3] * 2]
+    rows = [(i * 3 % 1000 + 1, floats(v)) for i, v in enumerate(vectors)]
+    rows += [(2000, None), (2001, []), (2002, [0.0] * 16), (2003, [1.0, None] * 8), (2004, [math.nan] * 16), (2005, [math.inf] + [1.0] * 15)]
+    rows += [(None, floats(vectors[5])), (None, floats(rng.normal(size=16))), (7, floats(vectors[9])), (2010, [1.0, 0.0, 0.0]), (2011, [1.0, 0.01, 0.0])]
+    expected = linked(rows)
+    for options in ({}, {"leaf": 32, "k": 3}):
+        got, recall = found_links(spark, rows, **options)
+        assert recall == 1.0
+        assert [x[:3] for x in got] == [x[:3] for x in expected]
+    assert all(x[3] == (x[0] == x[2]) for x in got)
+
+
+def test_near_vectors_with_full_lists_and_large_groups(spark, monkeypatch):
+    from claimweave.llm import near_vectors
+
+    monkeypatch.setattr(near_vectors, "BLOCK", 16)
+    rng = np.random.default_rng(4)
+    center = rng.normal(size=12)
+    center /= np.linalg.norm(center)
+    side = rng.normal(size=12)
+    side -= side @ center * center
+    side /= np.linalg.norm(side)
+    # tight islands at 20 degrees from each other: lists are full of an island before they see the next one
+    at = [math.cos(a) * center + math.sin(a) * side for a in np.radians([0, 20, 40, 60])]
+    vectors = [v for c in at for v in cloud(rng, c, 60, 0.01)] + list(cloud(rng, -center, 90, 0.35)) + list(rng.normal(size=(60, 12)))
+    rows = [(i, floats(v)) for i, v in enumerate(vectors)]
+    got, recall = found_links(spark, rows, leaf=64, k=4)
+    assert recall == 1.0 and got == linked(rows)
+
+
+def test_near_vectors_of_small_tables(spark):
+    assert found_links(spark, [])[0] == []
+    assert found_links(spark, [(1, None)])[0] == [(1, 0, 1, True)]
+    assert found_links(spark, [(1, [1.0, 0.0])], "double")[0] == [(1, 0, 1, True)]
+    assert found_links(spark, [(2, [1.0, 0.0]), (1, [1.0, 0.0])], "double")[0] == [(1, 1, 1, True), (2, 1, 1, False)]
