@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from claimweave.llm.tables import materialize, read_table
 from claimweave.scale import maybe_broadcast, measure, with_row_index
 
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 8 << 20
 # Phrase occurrences that a bucket of packed counts receives on average, and bytes of words sent to all tasks.
 BUCKET_ROWS = 1 << 21
 WORD_BYTES = 32 << 20
@@ -136,9 +136,9 @@ class PhraseIndex:
             rank = np.unique(rank * (int(ahead.max(initial=0)) + 1) + ahead, return_inverse=True)[1]
             known *= 2
         order = np.argsort(rank, kind="stable")
-        before = symbols[order - 1]
-        steps = np.empty(len(order), np.int64)
-        steps[np.argsort(before, kind="stable")] = np.arange(len(order))
+        before = symbols[order - 1].astype(np.int32)
+        steps = np.empty(len(order), np.int32)
+        steps[np.argsort(before, kind="stable")] = np.arange(len(order), dtype=np.int32)
         return before, steps
 
     def _extend(self, before, steps, low, high, twin):
@@ -151,7 +151,7 @@ class PhraseIndex:
         count = np.diff(np.r_[new, len(rows)])
         own = parent[new]
         inside = new - np.r_[0, np.cumsum(size)[:-1]][own]
-        return own, symbol[new], count, steps[rows[new]], twin[own] + inside
+        return own, symbol[new].astype(np.int64), count, steps[rows[new]].astype(np.int64), twin[own] + inside
 
     def words(self, ids: np.ndarray):
         """(low, high, twin) of one-word phrases."""
