@@ -20,6 +20,7 @@ from claimweave.operators import (
     candidates,
     cleaning,
     evaluation,
+    inverted,
     lexical,
     profiling,
     rerank,
@@ -28,7 +29,7 @@ from claimweave.operators import (
     verdict,
 )
 from claimweave.plans import retrieval, verification, views
-from claimweave.scale import materialize, maybe_broadcast, shared_dir
+from claimweave.scale import materialize, shared_dir
 from claimweave.schema import missing_columns, require_columns
 from claimweave.sources import index_store, tables
 from claimweave.streaming.requests import stream_verify, verify_requests
@@ -75,11 +76,6 @@ def _prepared(spark, d):
     )
 
 
-def _gates(spark, d):
-    """(claim side fits a broadcast, candidate pool fits a broadcast), measured once."""
-    return _once(spark, d, "gates", lambda: retrieval.broadcastable(views.claims(spark, d)))
-
-
 def _scored(spark, d):
     return _once(
         spark, d, "scored",
@@ -98,7 +94,7 @@ def _retrieved(spark, d):
 
 
 def _with_text(spark, d):
-    return candidates.attach_by_article(_retrieved(spark, d), _index(spark, d).articles, _gates(spark, d)[1])
+    return candidates.attach_by_article(_retrieved(spark, d), _index(spark, d).articles)
 
 
 def _evidence(spark, d):
@@ -467,13 +463,13 @@ def _(spark, d):
     "SELECT claim_id, article_id, round(sum(o), 6) AS word_original, round(sum(c), 6) AS word_claim FROM (SELECT claim_id, article_id, s AS o, 0.0 AS c FROM qwo_s "
     "UNION ALL SELECT claim_id, article_id, 0.0, s FROM qwc_s) GROUP BY ALL", "qwo_s", "qwc_s"))
 def _(spark, d):
-    scores = candidates.word_scores(_prepared(spark, d), _index(spark, d), _gates(spark, d)[0])
+    scores = candidates.word_scores(_prepared(spark, d), _index(spark, d))
     return scores.select("claim_id", "article_id", F.round("word_original", 6).alias("word_original"), F.round("word_claim", 6).alias("word_claim"))
 
 
 @register("lexical_char_scores", query("SELECT claim_id, article_id, round(s, 6) AS char_original FROM qch_s", "qch_s"))
 def _(spark, d):
-    scores = candidates.char_scores(_prepared(spark, d), _index(spark, d), _gates(spark, d)[0])
+    scores = candidates.char_scores(_prepared(spark, d), _index(spark, d))
     return scores.select("claim_id", "article_id", F.round("char_original", 6).alias("char_original"))
 
 
@@ -487,7 +483,7 @@ def _(spark, d):
 
 @register("index_config", query(
     "SELECT 'document_count' AS name, CAST(count(*) AS VARCHAR) AS value FROM articles UNION ALL SELECT 'embedding_dimension', CAST(max(len(v)) AS VARCHAR) FROM vectors "
-    "UNION ALL SELECT 'content_limit', '1500' UNION ALL SELECT 'normalized', 'True' UNION ALL SELECT 'buckets', '8'", "articles", "vectors"))
+    "UNION ALL SELECT 'content_limit', '1500' UNION ALL SELECT 'normalized', 'True' UNION ALL SELECT 'buckets', '8' UNION ALL SELECT 'parts', '16'", "articles", "vectors"))
 def _(spark, d):
     return _index(spark, d).config
 
@@ -562,15 +558,14 @@ for _name, _column, _depth, _source in (
 
     @register(f"channel_{_name}", query(f"SELECT claim_id, article_id, rank, round(s, 6) AS score FROM {_source}_top", f"{_source}_top"))
     def _(spark, d, column=_column, depth=_depth):
-        scores = (candidates.char_scores if column == "char_original" else candidates.word_scores)(_prepared(spark, d), _index(spark, d), _gates(spark, d)[0])
-        top = candidates.topn_per_claim(scores.where(F.col(column) > 0), column, depth)
+        scored = candidates.term_scores(_prepared(spark, d), _index(spark, d))
+        top = inverted.best_by_terms(scored, {column: depth})[column]
         return top.select("claim_id", "article_id", big("rank"), F.round(column, 6).alias("score"))
 
 
 @register("channel_identity", query("SELECT claim_id, article_id, hits::BIGINT AS hits FROM identity", "identity"))
 def _(spark, d):
-    index = _index(spark, d)
-    found = candidates.identity_candidates(_prepared(spark, d), index.windows, index.vocabulary_char, 300, _gates(spark, d)[0])
+    found = candidates.identity_candidates(_prepared(spark, d), _index(spark, d), 300)
     return found.select("claim_id", "article_id", big("hits"))
 
 
@@ -578,10 +573,8 @@ def _(spark, d):
     "round(lexical_score, 6) AS lexical_score, round(claim_lexical_score, 6) AS claim_lexical_score FROM scored", "scored"))
 def _(spark, d):
     index, claim_vectors = _index(spark, d), views.claim_vectors(spark, d)
-    small, pool_small = _gates(spark, d)
-    pool = candidates.candidate_pool(
-        _prepared(spark, d), claim_vectors, index, small=small, pool_small=pool_small)
-    scored = candidates.score_pool(pool, claim_vectors, index, pool_small, small)
+    pool = candidates.candidate_pool(_prepared(spark, d), claim_vectors, index)
+    scored = candidates.score_pool(pool, claim_vectors, index)
     names = ("semantic_score", "lexical_score", "claim_lexical_score")
     return scored.select("claim_id", "article_id", "identity_candidate", *[F.round(c, 6).alias(c) for c in names])
 
@@ -603,10 +596,10 @@ _SIG = ["entity_match", "entity_cooccurrence", "phrase_match", "event_specificit
     + ", specific_hits::BIGINT AS specific_hits, n_specific::BIGINT AS n_specific FROM id_signals", "id_signals"))
 def _(spark, d):
     index, prepared = _index(spark, d), _prepared(spark, d)
-    pairs = candidates.identity_candidates(prepared, index.windows, index.vocabulary_char, 300, _gates(spark, d)[0])
-    with_text = candidates.attach_by_article(pairs, index.windows, _gates(spark, d)[1])
+    pairs = candidates.identity_candidates(prepared, index, 300)
+    with_text = candidates.attach_by_article(pairs, index.windows)
     claims = prepared.select("claim_id", *signals.CLAIM_ARRAYS)
-    found = signals.add_signals(with_text.join(maybe_broadcast(claims, _gates(spark, d)[0]), "claim_id"))
+    found = signals.add_signals(with_text.join(claims, "claim_id"))
     return found.select("claim_id", "article_id", *[F.round(c, 4).alias(c) for c in _SIG], big("specific_hits"), big("n_specific"))
 
 
@@ -614,9 +607,9 @@ def _(spark, d):
     f"SELECT claim_id, article_id, array_to_string(list_filter(names, lambda n: {sql.found(sql.variants('n'), 'entity_w')} > 0), '|') AS matched FROM id_signals", "id_signals"))
 def _(spark, d):
     index, prepared = _index(spark, d), _prepared(spark, d)
-    pairs = candidates.identity_candidates(prepared, index.windows, index.vocabulary_char, 300, _gates(spark, d)[0])
-    with_text = candidates.attach_by_article(pairs, index.windows.select("article_id", "entity_w"), _gates(spark, d)[1])
-    both = with_text.join(maybe_broadcast(prepared.select("claim_id", "entities_s"), _gates(spark, d)[0]), "claim_id")
+    pairs = candidates.identity_candidates(prepared, index, 300)
+    with_text = candidates.attach_by_article(pairs, index.windows.select("article_id", "entity_w"))
+    both = with_text.join(prepared.select("claim_id", "entities_s"), "claim_id")
     return both.select("claim_id", "article_id", joined(signals.matched_entities(F.col("entities_s"), F.col("entity_w"))).alias("matched"))
 
 

@@ -28,10 +28,10 @@ from claimweave.functions.text import (
     token_set,
     words_array,
 )
-from claimweave.operators import lexical, signals
+from claimweave.operators import inverted, lexical, signals
 from claimweave.operators.lexical import CHAR, WORD
 from claimweave.operators.vectors import SCORE_DECIMALS, best_scores, dot
-from claimweave.scale import BROADCAST_BYTES, Measured, materialize, maybe_broadcast
+from claimweave.scale import ROWS_PER_SALT, all_salts, materialize, salt_of, salts_for
 from claimweave.sources.index_store import SearchIndex
 
 
@@ -46,10 +46,8 @@ class Depths:
     identity: int = 300
 
     @property
-    def total(self) -> int:
-        return (
-            self.semantic + self.word_original + self.word_claim + self.char_original + self.identity
-        )
+    def lexical(self) -> dict[str, int]:
+        return {"word_original": self.word_original, "word_claim": self.word_claim, "char_original": self.char_original}
 
 
 # --- claims --------------------------------------------------------------------------
@@ -156,65 +154,32 @@ def _identity_text():
     return F.concat_ws(" ", "title_n", "identity_content")
 
 
-def identity_hits(
-    prepared: DataFrame, windows: DataFrame, vocabulary_char: DataFrame
-) -> DataFrame:
+def identity_hits(prepared: DataFrame, index: SearchIndex) -> DataFrame:
     """(article_id, title_n, identity_content, claim_id, hits): distinct variants found, at least one.
 
-    Equi-joins serve any number of claims.
-
-    A text that contains a variant contains each of its three-character runs. Every variant
-    is looked up by one of them, the rarest known, and verified with a literal test; which
-    run is chosen changes the work, never the result.
+    The stored runs propose articles that have all three-character runs of a variant; only their texts are
+    fetched, and every variant is tested literally.
     """
     wanted = prepared.select("claim_id", F.explode("identity_variants").alias("variant"))
-    run = F.lit("(?s)(?=(.{3}))")
-    runs = wanted.select("variant").distinct().select(
-        "variant", F.explode(F.array_distinct(F.regexp_extract_all("variant", run, F.lit(1)))).alias("anchor")
-    )
-    known = vocabulary_char.select(F.col("term").alias("anchor"), "df")
-    anchors = (
-        runs.join(known, "anchor", "left")
-        .groupBy("variant")
-        .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "anchor")).alias("best"))
-        .select("variant", "best.anchor")
-    )
-    article_runs = windows.select(
-        "article_id",
-        F.explode(F.array_distinct(F.regexp_extract_all(_identity_text(), run, F.lit(1)))).alias("anchor"),
-    )
-    proposed = article_runs.join(anchors, "anchor").select("article_id", "variant")
-    texts = windows.select("article_id", _identity_text().alias("text"))
-    verified = proposed.hint("shuffle_hash").join(texts, "article_id").where(
-        F.contains("text", "variant")
-    )
-    hits = (
-        verified.select("article_id", "variant")
-        .join(wanted, "variant")
-        .groupBy("article_id", "claim_id")
-        .agg(F.count("*").cast("int").alias("hits"))
-    )
-    return hits.hint("shuffle_hash").join(
-        windows.select("article_id", "title_n", "identity_content"), "article_id"
+    proposed = inverted.holding_runs(wanted.select("variant"), index.lists, index.parts)
+    pairs = proposed.join(wanted, "variant").groupBy("article_id", "claim_id").agg(F.collect_set("variant").alias("variants"))
+    texts = index.windows.select("article_id", "title_n", "identity_content", _identity_text().alias("text"))
+    found = F.filter("variants", lambda v: F.contains(F.col("text"), v))
+    return (
+        attach_by_article(pairs, texts)
+        .withColumn("hits", F.size(found))
+        .where(F.col("hits") > 0)
+        .select("article_id", "title_n", "identity_content", "claim_id", "hits")
     )
 
 
-def identity_candidates(
-    prepared: DataFrame,
-    windows: DataFrame,
-    vocabulary_char: DataFrame,
-    limit: int = 250,
-    small: bool = False,
-) -> DataFrame:
+def identity_candidates(prepared: DataFrame, index: SearchIndex, limit: int = 250) -> DataFrame:
     """Articles that name two entities of a claim, or one next to a phrase or number of it.
 
     The ``limit`` articles with most hits are kept per claim, ties by id; the limit is applied
     inside each task before rows are shuffled.
     """
-    hits = identity_hits(prepared, windows, vocabulary_char)
-    claim_side = prepared.select(
-        "claim_id", "exclude_article_id", F.col("phrases"), F.col("numbers_s")
-    )
+    claim_side = prepared.select("claim_id", "exclude_article_id", "phrases", "numbers_s")
     text = F.trim(_identity_text())
     supported = (
         (F.col("hits") >= 2)
@@ -223,7 +188,7 @@ def identity_candidates(
     )
     order = Window.partitionBy("claim_id").orderBy(F.desc("hits"), "article_id")
     return (
-        hits.join(maybe_broadcast(claim_side, small), "claim_id")
+        identity_hits(prepared, index).join(claim_side, "claim_id")
         .where(~F.col("article_id").eqNullSafe(F.col("exclude_article_id")))
         .where(supported)
         .select("claim_id", "article_id", "hits")
@@ -252,37 +217,33 @@ def claim_term_weights(prepared: DataFrame, index: SearchIndex, channel: str, **
     )
 
 
-def word_scores(prepared: DataFrame, index: SearchIndex, small: bool) -> DataFrame:
+def word_scores(prepared: DataFrame, index: SearchIndex) -> DataFrame:
+    """Word cosines of every claim with every article that shares a term: a report, not a step of the search."""
     weights = claim_term_weights(
         prepared, index, WORD, word_original="q_original", word_claim="q_claim"
     )
-    postings = index.channel_postings(WORD)
-    return lexical.lexical_scores(weights, postings, ["word_original", "word_claim"], small)
+    return lexical.lexical_scores(weights, index.channel_postings(WORD), ["word_original", "word_claim"], False)
 
 
-def char_scores(prepared: DataFrame, index: SearchIndex, small: bool) -> DataFrame:
+def char_scores(prepared: DataFrame, index: SearchIndex) -> DataFrame:
+    """Character cosines, as :func:`word_scores`."""
     weights = claim_term_weights(prepared, index, CHAR, char_original="q_original")
-    return lexical.lexical_scores(weights, index.channel_postings(CHAR), ["char_original"], small)
+    return lexical.lexical_scores(weights, index.channel_postings(CHAR), ["char_original"], False)
 
 
-def pair_scores(prepared: DataFrame, index: SearchIndex, small: bool) -> DataFrame:
-    """All three lexical scores of every pair that shares a term, from one scan of the postings."""
+def term_scores(
+    prepared: DataFrame, index: SearchIndex, depths: Depths = Depths(), forced: DataFrame | None = None
+) -> DataFrame:
+    """The pairs that may be among the best of a lexical channel, and the forced ones, with all three scores."""
     word = claim_term_weights(
         prepared, index, WORD, word_original="q_original", word_claim="q_claim"
     ).withColumn("channel", F.lit(WORD))
-    char = claim_term_weights(prepared, index, CHAR, char_original="q_original").withColumn(
-        "channel", F.lit(CHAR)
-    )
-    weights = word.unionByName(char, allowMissingColumns=True)
-    return lexical.lexical_scores(
-        weights, index.postings, ["word_original", "word_claim", "char_original"], small
-    )
-
-
-def topn_per_claim(scores: DataFrame, score: str, n: int) -> DataFrame:
-    """Best n articles per claim; rows beyond n are cut inside each task first."""
-    order = Window.partitionBy("claim_id").orderBy(F.desc(score), "article_id")
-    return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    char = claim_term_weights(prepared, index, CHAR, char_original="q_original").withColumn("channel", F.lit(CHAR))
+    weights = word.unionByName(char, allowMissingColumns=True).drop("salts")
+    if forced is None:
+        forced = prepared.sparkSession.createDataFrame([], "claim_id bigint, article_id bigint")
+    scored = inverted.score_claims(weights, forced, index.lists, index.parts, depths.lexical, prepared.count())
+    return materialize(scored, "term_scores")
 
 
 def proposed_pairs(
@@ -290,9 +251,8 @@ def proposed_pairs(
     claim_vectors: DataFrame,
     index: SearchIndex,
     depths: Depths = Depths(),
-    small: bool = False,
 ) -> DataFrame:
-    """(claim_id, article_id, is_semantic, identity_candidate) of the two channels without terms."""
+    """(claim_id, article_id, identity_candidate) of the two channels without terms."""
     nearest = best_scores(
         prepared.select("claim_id")
         .join(claim_vectors, "claim_id")
@@ -304,27 +264,14 @@ def proposed_pairs(
         ),
         index.vectors,
         depths.semantic,
-    ).select(
-        F.col("query_id").alias("claim_id"),
-        "article_id",
-        F.lit(True).alias("is_semantic"),
-        F.lit(False).alias("identity_candidate"),
-    )
-    named = identity_candidates(
-        prepared, index.windows, index.vocabulary_char, depths.identity, small
-    ).select(
-        "claim_id",
-        "article_id",
-        F.lit(False).alias("is_semantic"),
-        F.lit(True).alias("identity_candidate"),
+    ).select(F.col("query_id").alias("claim_id"), "article_id", F.lit(False).alias("identity_candidate"))
+    named = identity_candidates(prepared, index, depths.identity).select(
+        "claim_id", "article_id", F.lit(True).alias("identity_candidate")
     )
     return (
         nearest.unionByName(named)
         .groupBy("claim_id", "article_id")
-        .agg(
-            F.max("is_semantic").alias("is_semantic"),
-            F.max("identity_candidate").alias("identity_candidate"),
-        )
+        .agg(F.max("identity_candidate").alias("identity_candidate"))
     )
 
 
@@ -333,57 +280,28 @@ def candidate_pool(
     claim_vectors: DataFrame,
     index: SearchIndex,
     depths: Depths = Depths(),
-    small: bool = False,
-    pool_small: bool = False,
 ) -> DataFrame:
     """Distinct (claim, article) pairs proposed by any channel, with the lexical scores.
 
-    Term scores are summed where the bucketed postings lie, marked with the proposals of the
-    other channels, and cut to the channel depths inside each task: only the best rows per
-    claim, channel and task are shuffled, never all pairs that share a term.
+    The proposals of the other channels are scored together with the best pairs of each chunk of the
+    inverted file, so only the best rows per claim, channel and chunk, and the proposals, are ever rows.
     """
-    proposed = materialize(
-        proposed_pairs(prepared, claim_vectors, index, depths, small), "proposed"
-    )
-    pairs = pair_scores(prepared, index, small).join(
-        maybe_broadcast(proposed, pool_small), ["article_id", "claim_id"], "left"
-    )
-
-    def entry(channel, condition, score, depth):
-        fields = {"channel": F.lit(channel), "score": score, "depth": F.lit(depth)}
-        return F.when(condition, F.struct(*[c.alias(n) for n, c in fields.items()]))
-
-    term_depths = {
-        "word_original": depths.word_original,
-        "word_claim": depths.word_claim,
-        "char_original": depths.char_original,
-    }
-    channels = F.array_compact(
-        F.array(
-            *[entry(c, F.col(c) > 0, F.col(c), n) for c, n in term_depths.items()],
-            # cut to their depths already; kept here for their term scores
-            entry("semantic", F.col("is_semantic"), F.lit(1.0), depths.semantic),
-            entry("identity", F.col("identity_candidate"), F.lit(1.0), depths.identity),
-        )
-    )
-    order = Window.partitionBy("claim_id", "channel").orderBy(F.desc("score"), "article_id")
-    ranked = (
-        pairs.select("*", F.inline(channels))
-        .withColumn("rank", F.row_number().over(order))
-        .where((F.col("rank") <= max(vars(depths).values())) & (F.col("rank") <= F.col("depth")))
-        .select("claim_id", "article_id", *term_depths, "identity_candidate")
-    )
-    # proposals that share no term with their claim score 0 in every lexical channel
-    bare = proposed.select(
-        "claim_id", "article_id", *[F.lit(0.0).alias(c) for c in term_depths], "identity_candidate"
-    )
-    return (
-        ranked.unionByName(bare)
-        .groupBy("claim_id", "article_id")
-        .agg(
-            *[F.max(c).alias(c) for c in term_depths],
-            F.coalesce(F.max("identity_candidate"), F.lit(False)).alias("identity_candidate"),
-        )
+    proposed = materialize(proposed_pairs(prepared, claim_vectors, index, depths), "proposed")
+    scored = term_scores(prepared, index, depths, proposed)
+    kinds = list(depths.lexical)
+
+    def pooled(df: DataFrame, scores, named=F.lit(False)) -> DataFrame:
+        return df.select("claim_id", "article_id", *scores, named.alias("identity_candidate"))
+
+    parts = [pooled(best, kinds) for best in inverted.best_by_terms(scored, depths.lexical).values()]
+    parts.append(pooled(scored.where("forced"), kinds))
+    # proposals outside the inverted file score 0 in every lexical channel
+    parts.append(pooled(proposed, [F.lit(0.0).alias(c) for c in kinds], F.col("identity_candidate")))
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    return union.groupBy("claim_id", "article_id").agg(
+        *[F.max(c).alias(c) for c in kinds], F.max("identity_candidate").alias("identity_candidate")
     )
 
 
@@ -391,22 +309,11 @@ def lexical_blend(word, char):
     return 0.55 * word + 0.45 * char
 
 
-def score_pool(
-    pool: DataFrame,
-    claim_vectors: DataFrame,
-    index: SearchIndex,
-    pool_small: bool,
-    claims_small: bool,
-) -> DataFrame:
+def score_pool(pool: DataFrame, claim_vectors: DataFrame, index: SearchIndex) -> DataFrame:
     """All scores of every pooled pair; a missing vector scores 0."""
     claim_side = claim_vectors.select("claim_id", F.col("embedding").alias("claim_vector"))
-    pooled = pool.join(maybe_broadcast(claim_side, claims_small), "claim_id", "left")
     vectors = index.vectors.select("article_id", F.col("embedding").alias("article_vector"))
-    ids = pool.select("article_id").distinct()
-    needed = vectors.join(
-        F.broadcast(ids) if pool_small else ids.hint("shuffle_hash"), "article_id", "left_semi"
-    )
-    joined = pooled.join(needed, "article_id", "left")
+    joined = pool.join(claim_side, "claim_id", "left").join(vectors, "article_id", "left")
     cosine = F.round(
         F.coalesce(dot(F.col("claim_vector"), F.col("article_vector")), F.lit(0.0)), SCORE_DECIMALS
     )
@@ -447,17 +354,22 @@ def exclude_source(df: DataFrame) -> DataFrame:
     return df.where(~F.col("article_id").eqNullSafe(F.col("exclude_article_id")))
 
 
-def attach_by_article(pairs: DataFrame, table: DataFrame, small: bool) -> DataFrame:
-    """Join per-article columns to pairs without shuffling or sorting the article side."""
-    side = F.broadcast(pairs) if small else pairs.hint("shuffle_hash")
-    return side.join(table, "article_id")
-
-
-def attach_articles(pairs: DataFrame, articles: DataFrame, small: bool) -> DataFrame:
-    return attach_by_article(pairs, articles.select("article_id", "url", "title", "content"), small)
-
-
-def pool_fits(claims: Measured, depths: Depths, row_bytes: int = 160) -> bool:
-    """Whether the pool of a measured claim batch may be broadcast."""
-    return claims.rows * depths.total * row_bytes <= BROADCAST_BYTES
+def attach_by_article(pairs: DataFrame, table: DataFrame, rows_per_task: int = ROWS_PER_SALT) -> DataFrame:
+    """Join per-article columns to pairs.
 
+    An article that occurs in more than ``rows_per_task`` pairs is spread over as many tasks as that asks for: its
+    pairs are salted by claim, and its row is copied once per salt. All others meet on the table's own bucketing.
+    """
+    pairs = materialize(pairs, "pairs")
+    hot = materialize(
+        pairs.groupBy("article_id").agg(F.count("*").alias("n")).where(F.col("n") > rows_per_task)
+        .select("article_id", salts_for(F.col("n"), rows_per_task).alias("salts")),
+        "hot_articles",
+    )
+    if not hot.limit(1).count():
+        return pairs.join(table, "article_id")
+    cold = pairs.join(hot, "article_id", "left_anti").join(table, "article_id")
+    spread = pairs.join(hot, "article_id").withColumn("salt", salt_of(F.col("claim_id"), F.col("salts"))).drop("salts")
+    copies = table.join(hot, "article_id").withColumn("salt", all_salts(F.col("salts"))).drop("salts")
+    # a text that lies in several tasks must not be broadcast back into one
+    return cold.unionByName(spread.hint("merge").join(copies, ["article_id", "salt"]).select(cold.columns))

@@ -1,11 +1,9 @@
-"""TF-IDF index over words and characters, and cosine scores of claims against it.
+"""TF-IDF over words and characters, term by term in rows: the plain form of the index.
 
 Weight of a term in an article: (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1), then every
 article is scaled to unit length. Terms outside the fitted vocabulary are ignored.
 
-Texts are hashed on ``article_id`` once, before they are taken apart: counting, weighting
-and the norm then all run on that partitioning, and the only other shuffle is the
-map-side-combined document frequency.
+The stored index is built and scored in packed lists (``inverted``); claims are weighed here.
 """
 
 from __future__ import annotations
@@ -51,11 +49,15 @@ def word_terms(text: Column) -> Column:
     return bind(words, lambda w: F.concat(w, word_ngrams(w, 2)))
 
 
+def squeezed(text: Column) -> Column:
+    """The lower-cased text with one space for runs of white space."""
+    return F.regexp_replace(F.lower(text), r"(?U)[\s\x1c-\x1f]{2,}", " ")
+
+
 def char_terms(text: Column) -> Column:
     """Runs of three to five characters over the whole lower-cased text, spaces included."""
-    squeezed = F.regexp_replace(F.lower(text), r"(?U)[\s\x1c-\x1f]{2,}", " ")
     return bind(
-        squeezed,
+        squeezed(text),
         lambda t: F.concat(
             *[F.regexp_extract_all(t, F.lit("(?s)(?=(.{%d}))" % n), F.lit(1)) for n in (3, 4, 5)]
         ),
@@ -125,11 +127,15 @@ def weigh_terms(terms: DataFrame, n_articles: int) -> DataFrame:
 def fit_vocabulary(
     postings: DataFrame, n_articles: int, channel: str, max_terms: int | None = None
 ) -> DataFrame:
-    """(term, df, total, idf, salts): pruned, weighed, and capped only if ``max_terms`` is given."""
-    analyzer = ANALYZERS[channel]
-    kept = materialize(
-        prune_df(document_frequency(postings), n_articles, analyzer), f"terms_{channel}"
-    )
+    """The vocabulary of (key, term, tf) rows, see :func:`fit_terms`."""
+    return fit_terms(document_frequency(postings), n_articles, channel, max_terms)
+
+
+def fit_terms(
+    frequencies: DataFrame, n_articles: int, channel: str, max_terms: int | None = None
+) -> DataFrame:
+    """(term, df, total, idf, salts) of (term, df, total): pruned, weighed, and capped only if ``max_terms`` is given."""
+    kept = materialize(prune_df(frequencies, n_articles, ANALYZERS[channel]), f"terms_{channel}")
     # the count comes from file metadata; ranking is needed only beyond the cap
     if max_terms is not None and kept.count() > max_terms:
         kept = cap_vocabulary(kept, max_terms)
@@ -189,16 +195,3 @@ def lexical_scores(
         for n in names
     ]
     return joined.groupBy("article_id", "claim_id").agg(*sums)
-
-
-def index_stats(postings: dict, vocabularies: dict, articles: DataFrame) -> DataFrame:
-    """(metric, value) rows: indexed articles, then features and postings per channel."""
-
-    def count(df, metric):
-        return df.agg(F.count("*").alias("value")).select(F.lit(metric).alias("metric"), "value")
-
-    stats = count(articles, "articles")
-    for channel in (WORD, CHAR):
-        stats = stats.unionByName(count(vocabularies[channel], f"{channel}_features"))
-        stats = stats.unionByName(count(postings[channel], f"{channel}_postings"))
-    return stats

@@ -7,13 +7,9 @@ from pyspark.sql import functions as F
 
 from claimweave.operators import candidates, signals
 from claimweave.operators.candidates import Depths
-from claimweave.scale import materialize, maybe_broadcast, measure
+from claimweave.scale import materialize
 from claimweave.sources.index_store import SearchIndex
 
-# Claim-side data derived from a claim batch, relative to the batch: three- to five-character
-# runs of the query texts with claim id and weight are the largest part.
-CLAIM_GROWTH = 200.0
-
 CANDIDATE_COLUMNS = [
     "claim_id",
     "retrieval_rank",
@@ -26,40 +22,24 @@ CANDIDATE_COLUMNS = [
 ]
 
 
-def broadcastable(claims: DataFrame, depths: Depths = Depths()) -> tuple[bool, bool]:
-    """Whether claim-side data, and the candidate pool, of a measured claim batch may be broadcast."""
-    batch = measure(claims)
-    return batch.fits(CLAIM_GROWTH), candidates.pool_fits(batch, depths)
-
-
 def score_claims(
     claims: DataFrame,
     claim_vectors: DataFrame,
     index: SearchIndex,
     depths: Depths = Depths(),
-    allow_broadcast: bool = True,
 ) -> DataFrame:
-    """Every pooled pair of claim and article with scores, signals and relevance."""
-    small, pool_small = broadcastable(claims, depths) if allow_broadcast else (False, False)
+    """Every pooled pair of claim and article with scores, signals and relevance.
+
+    One way for any number of claims: they are dealt out in blocks to the chunks of the index.
+    """
     # claims are read by every channel: normalise them once
     prepared = materialize(candidates.prepare_claims(claims), "claims")
-    pool = materialize(
-        candidates.candidate_pool(prepared, claim_vectors, index, depths, small, pool_small),
-        "pool",
-    )
-    scored = candidates.normalize_pool(
-        candidates.score_pool(pool, claim_vectors, index, pool_small, small)
-    )
+    pool = materialize(candidates.candidate_pool(prepared, claim_vectors, index, depths), "pool")
+    scored = candidates.normalize_pool(candidates.score_pool(pool, claim_vectors, index))
     claim_side = prepared.select("claim_id", "exclude_article_id", *signals.CLAIM_ARRAYS)
-    kept = candidates.exclude_source(
-        scored.join(
-            maybe_broadcast(claim_side.select("claim_id", "exclude_article_id"), small), "claim_id"
-        )
-    )
-    with_text = candidates.attach_by_article(kept, index.windows, pool_small)
-    pairs = with_text.join(
-        maybe_broadcast(claim_side.drop("exclude_article_id"), small), "claim_id"
-    )
+    kept = candidates.exclude_source(scored.join(claim_side.select("claim_id", "exclude_article_id"), "claim_id"))
+    with_text = candidates.attach_by_article(kept, index.windows)
+    pairs = with_text.join(claim_side.drop("exclude_article_id"), "claim_id")
     return signals.score_candidates(signals.add_signals(pairs))
 
 
@@ -84,7 +64,6 @@ def retrieve(
     index: SearchIndex,
     k: int = 12,
     depths: Depths = Depths(),
-    allow_broadcast: bool = True,
 ) -> DataFrame:
     """Top-k candidates per claim, without article text."""
-    return rank_candidates(score_claims(claims, claim_vectors, index, depths, allow_broadcast), k)
+    return rank_candidates(score_claims(claims, claim_vectors, index, depths), k)

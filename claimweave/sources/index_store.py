@@ -1,8 +1,8 @@
-"""The search index as Parquet tables bucketed by article.
+"""The search index: per-article tables bucketed by article, and the inverted file.
 
-All per-article tables share one bucketing on ``article_id``: scoring, pooling and fetching
-text then line up without a shuffle. Postings are sorted by term inside a file, which
-keeps files small and lets row-group statistics skip terms nobody asks for.
+Articles, windows and vectors share one bucketing on ``article_id``, so fetching texts for
+pairs shuffles only the pairs. The inverted file (``operators.inverted``) is split by channel and
+term, and a batch of claims reads the parts of its terms.
 """
 
 from __future__ import annotations
@@ -14,18 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.functions.text import digits, fold, nfkc, normalize_text, text_or_blank
-from claimweave.operators import lexical
+from claimweave.operators import inverted, lexical
 from claimweave.operators.lexical import CHAR, WORD
+from claimweave.scale import materialize
 from claimweave.schema import ARTICLE_COLUMNS, require_columns
 
-BUCKETED = {
-    "articles": "article_id",
-    "windows": "article_id",
-    "vectors": "article_id",
-    "postings": "term",
-}
-COUNTS = {"counts_word": "article_id", "counts_char": "article_id"}
-SORTED = {**BUCKETED, **COUNTS}
+BUCKETED = ["articles", "windows", "vectors"]
 PLAIN = ["vocabulary_word", "vocabulary_char", "config"]
 
 
@@ -34,26 +28,33 @@ class SearchIndex:
     articles: DataFrame
     windows: DataFrame
     vectors: DataFrame
-    postings: DataFrame
+    lists: DataFrame
     vocabulary_word: DataFrame
     vocabulary_char: DataFrame
     config: DataFrame
     buckets: int
+    parts: int
 
     def channel_postings(self, channel: str) -> DataFrame:
-        """Postings of one channel; the files of the other one are skipped by statistics."""
-        return self.postings.where(F.col("channel") == channel).drop("channel")
+        """(article_id, term, w, salts) of one channel, taken out of the packed lists."""
+        terms = self.vocabulary(channel).select("term", "salts")
+        return inverted.postings(self.lists, channel).join(terms, "term")
 
     def vocabulary(self, channel: str) -> DataFrame:
         return getattr(self, f"vocabulary_{channel}")
 
     def stats(self) -> DataFrame:
-        channels = (WORD, CHAR)
-        return lexical.index_stats(
-            {c: self.channel_postings(c) for c in channels},
-            {c: self.vocabulary(c) for c in channels},
-            self.articles,
-        )
+        """(metric, value): indexed articles, then features and postings per channel, from the list lengths."""
+
+        def count(metric: str, value, of: DataFrame) -> DataFrame:
+            return of.agg(F.coalesce(value, F.lit(0)).cast("bigint").alias("value")).select(F.lit(metric).alias("metric"), "value")
+
+        stats = count("articles", F.count("*"), self.articles)
+        for channel in (WORD, CHAR):
+            own = self.lists.where(F.col("channel") == channel)
+            stats = stats.unionByName(count(f"{channel}_features", F.count("*"), self.vocabulary(channel)))
+            stats = stats.unionByName(count(f"{channel}_postings", F.sum("n"), own))
+        return stats
 
 
 @dataclass(frozen=True)
@@ -97,26 +98,24 @@ def article_windows(articles: DataFrame, windows: Windows = Windows()) -> DataFr
 
 
 def _save_bucketed(
-    parts: list[DataFrame], directory: str, name: str, buckets: int, partitioned: bool = False
+    rows: DataFrame, directory: str, name: str, buckets: int, partitioned: bool = False
 ) -> None:
-    """Write the parts, one after the other, into one bucketed table.
+    """Write a bucketed table, one file per bucket.
 
     ``partitioned``: the rows already are hashed on the article into ``buckets`` parts.
     """
-    spark = parts[0].sparkSession
     table = f"claimweave_{name}_{uuid.uuid4().hex}"
-    for i, part in enumerate(parts):
-        hashed = part if partitioned else part.repartition(buckets, "article_id")
-        (
-            hashed.write.format("parquet")
-            .option("path", f"{directory}/{name}")
-            .bucketBy(buckets, "article_id")
-            .sortBy(SORTED[name])
-            .mode("append" if i else "overwrite")
-            .saveAsTable(table)
-        )
+    hashed = rows if partitioned else rows.repartition(buckets, "article_id")
+    (
+        hashed.write.format("parquet")
+        .option("path", f"{directory}/{name}")
+        .bucketBy(buckets, "article_id")
+        .sortBy("article_id")
+        .mode("overwrite")
+        .saveAsTable(table)
+    )
     # the entry only served the bucketed write; the files of an external table stay
-    spark.sql(f"DROP TABLE {table}")
+    rows.sparkSession.sql(f"DROP TABLE {table}")
 
 
 def _load_bucketed(spark: SparkSession, directory: str, name: str, buckets: int) -> DataFrame:
@@ -127,7 +126,7 @@ def _load_bucketed(spark: SparkSession, directory: str, name: str, buckets: int)
     )
     spark.sql(
         f"CREATE TABLE {table} ({columns}) USING parquet "
-        f"CLUSTERED BY (article_id) SORTED BY ({SORTED[name]}) INTO {buckets} BUCKETS "
+        f"CLUSTERED BY (article_id) SORTED BY (article_id) INTO {buckets} BUCKETS "
         f"LOCATION '{directory}/{name}'"
     )
     return spark.table(table)
@@ -140,37 +139,34 @@ def save_index(
     buckets: int = 8,
     windows: Windows = Windows(),
     max_terms: dict[str, int] | None = None,
+    parts: int = 16,
+    chunk_chars: int = inverted.CHUNK_CHARS,
     **config,
 ) -> None:
-    """Build and write the whole index. Choose ``buckets`` near postings bytes / 512 MB.
+    """Build and write the whole index. Choose ``buckets`` near text bytes / 128 MB, ``parts`` near list bytes / 512 MB.
 
     ``max_terms`` caps the vocabulary of a channel, as ``lexical.FIXED_TERMS`` does; without it all terms stay.
     """
     spark = articles.sparkSession
     require_columns(articles)
-    _save_bucketed([articles.select(*ARTICLE_COLUMNS)], directory, "articles", buckets)
+    _save_bucketed(articles.select(*ARTICLE_COLUMNS), directory, "articles", buckets)
     # from here on every step reads the hashed copy and keeps its partitioning
     articles = _load_bucketed(spark, directory, "articles", buckets)
-    _save_bucketed([article_windows(articles, windows)], directory, "windows", buckets, True)
+    _save_bucketed(article_windows(articles, windows), directory, "windows", buckets, True)
     vector_columns = vectors.select(
         F.col("article_id").cast("bigint").alias("article_id"), F.col("embedding").cast("array<float>")
     )
-    _save_bucketed([vector_columns], directory, "vectors", buckets)
+    _save_bucketed(vector_columns, directory, "vectors", buckets)
     n = articles.count()
-    texts = lexical.search_texts(articles)
-    postings = []
+    counts = materialize(inverted.count_terms(inverted.index_inputs(articles), chunk_chars), "counts")
+    vocabularies = None
     for channel in (WORD, CHAR):
-        counts_name = f"counts_{channel}"
-        _save_bucketed([lexical.term_counts(texts, channel)], directory, counts_name, buckets, True)
-        counts = _load_bucketed(spark, directory, counts_name, buckets)
         path = f"{directory}/vocabulary_{channel}"
-        lexical.fit_vocabulary(counts, n, channel, (max_terms or {}).get(channel)).write.mode("overwrite").parquet(path)
-        weighted = lexical.tfidf(counts, spark.read.parquet(path))
-        postings.append(
-            weighted.select("article_id", F.lit(channel).alias("channel"), "term", "w", "salts")
-        )
-    # both channels in one table: a claim batch is scored against them in one pass
-    _save_bucketed(postings, directory, "postings", buckets, True)
+        terms = lexical.fit_terms(inverted.frequencies(counts, channel), n, channel, (max_terms or {}).get(channel))
+        terms.write.mode("overwrite").parquet(path)
+        own = spark.read.parquet(path).select(F.lit(channel).alias("channel"), "term", "idf")
+        vocabularies = own if vocabularies is None else vocabularies.unionByName(own)
+    inverted.save_lists(inverted.weigh(counts, vocabularies), f"{directory}/inverted", parts)
     first = vectors.select(F.size("embedding").alias("d")).first()
     settings = {
         "document_count": n,
@@ -178,6 +174,7 @@ def save_index(
         "content_limit": 1500,
         "normalized": True,
         "buckets": buckets,
+        "parts": parts,
         **config,
     }
     rows = [(k, str(v)) for k, v in sorted(settings.items())]
@@ -188,7 +185,8 @@ def save_index(
 
 def load_index(spark: SparkSession, directory: str) -> SearchIndex:
     config = spark.read.parquet(f"{directory}/config")
-    buckets = int(config.where("name = 'buckets'").first()["value"])
+    settings = {r["name"]: r["value"] for r in config.where("name IN ('buckets', 'parts')").collect()}
+    buckets, parts = int(settings["buckets"]), int(settings["parts"])
     tables = {name: _load_bucketed(spark, directory, name, buckets) for name in BUCKETED}
     tables.update({name: spark.read.parquet(f"{directory}/{name}") for name in PLAIN})
-    return SearchIndex(**tables, buckets=buckets)
+    return SearchIndex(**tables, lists=inverted.load_lists(spark, f"{directory}/inverted"), buckets=buckets, parts=parts)
