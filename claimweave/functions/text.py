@@ -206,4 +206,4 @@ def count_terms(text: Column, terms) -> Column:
 
 def digits(c: Column) -> Column:
     """Only the decimal digits."""
-    return F.regexp_replace(c, r"[^\p{Nd}]", "")
+    return F.regexp_replace(c, r"[^\p{Nd}]+", "")

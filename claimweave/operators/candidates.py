@@ -126,7 +126,7 @@ def prepare_claims(
         }
     )
     variants = F.flatten(F.transform("entities_s", lambda e: e["variants"]))
-    with_phrases = with_arrays.withColumns(
+    return with_arrays.withColumns(
         {
             "distinctive": F.when(F.size("not_generic") > 0, F.col("not_generic")).otherwise(
                 F.col("claim_tokens")
@@ -136,9 +136,6 @@ def prepare_claims(
             ),
             "identity_variants": F.array_distinct(F.filter(variants, lambda v: F.length(v) >= 3)),
         }
-    )
-    return with_phrases.withColumn(
-        "phrases_multi", F.filter("phrases", lambda p: F.contains(p, F.lit(" ")))
     ).drop("claim_n", "entities_x", "numbers_x", "names", "numbers_n", "all_tokens", "not_generic")
 
 
@@ -155,46 +152,44 @@ def _identity_text():
 
 
 def identity_hits(prepared: DataFrame, index: SearchIndex) -> DataFrame:
-    """(article_id, title_n, identity_content, claim_id, hits): distinct variants found, at least one.
+    """(article_id, claim_id, hits): distinct variants found, at least one.
 
     The stored runs propose articles that have all three-character runs of a variant; only their texts are
-    fetched, and every variant is tested literally.
+    searched, for each variant once per article, whichever claims ask for it.
     """
     wanted = prepared.select("claim_id", F.explode("identity_variants").alias("variant"))
-    proposed = inverted.holding_runs(wanted.select("variant"), index.lists, index.parts)
-    pairs = proposed.join(wanted, "variant").groupBy("article_id", "claim_id").agg(F.collect_set("variant").alias("variants"))
-    texts = index.windows.select("article_id", "title_n", "identity_content", _identity_text().alias("text"))
-    found = F.filter("variants", lambda v: F.contains(F.col("text"), v))
+    proposed = materialize(inverted.holding_runs(wanted.select("variant"), index.lists, index.parts), "proposed_variants")
+    texts = index.windows.select("article_id", "title_n", "identity_content")
+    found = attach_by_article(proposed, texts, salt="variant").where(F.contains(_identity_text(), F.col("variant")))
     return (
-        attach_by_article(pairs, texts)
-        .withColumn("hits", F.size(found))
-        .where(F.col("hits") > 0)
-        .select("article_id", "title_n", "identity_content", "claim_id", "hits")
+        found.select("article_id", "variant").join(wanted, "variant").groupBy("article_id", "claim_id")
+        .agg(F.count("*").cast("int").alias("hits"))
     )
 
 
 def identity_candidates(prepared: DataFrame, index: SearchIndex, limit: int = 250) -> DataFrame:
     """Articles that name two entities of a claim, or one next to a phrase or number of it.
 
-    The ``limit`` articles with most hits are kept per claim, ties by id; the limit is applied
-    inside each task before rows are shuffled.
+    The ``limit`` articles with most hits are kept per claim, ties by id; the limit is applied inside each task
+    before rows are shuffled. Texts are fetched again only for articles with a single hit.
     """
     claim_side = prepared.select("claim_id", "exclude_article_id", "phrases", "numbers_s")
+    hits = identity_hits(prepared, index).join(claim_side.select("claim_id", "exclude_article_id"), "claim_id")
+    hits = materialize(
+        hits.where(~F.col("article_id").eqNullSafe(F.col("exclude_article_id"))).select("claim_id", "article_id", "hits"), "identity_hits"
+    )
     text = F.trim(_identity_text())
-    supported = (
-        (F.col("hits") >= 2)
+    single = attach_by_article(hits.where("hits = 1"), index.windows.select("article_id", "title_n", "identity_content"))
+    supported = single.join(claim_side, "claim_id").where(
+        (signals.number_date_match(F.col("numbers_s"), text, digits(text)) >= 0.20)
         | (signals.phrase_match(F.col("phrases"), F.col("title_n"), F.col("identity_content")) >= 0.15)
-        | (signals.number_date_match(F.col("numbers_s"), text, digits(text)) >= 0.20)
     )
     order = Window.partitionBy("claim_id").orderBy(F.desc("hits"), "article_id")
     return (
-        identity_hits(prepared, index).join(claim_side, "claim_id")
-        .where(~F.col("article_id").eqNullSafe(F.col("exclude_article_id")))
-        .where(supported)
-        .select("claim_id", "article_id", "hits")
+        hits.where("hits >= 2").unionByName(supported.select(hits.columns))
         .withColumn("position", F.row_number().over(order))
         .where(F.col("position") <= limit)
-        .select("claim_id", "article_id", "hits")
+        .select(hits.columns)
     )
 
 
@@ -354,11 +349,13 @@ def exclude_source(df: DataFrame) -> DataFrame:
     return df.where(~F.col("article_id").eqNullSafe(F.col("exclude_article_id")))
 
 
-def attach_by_article(pairs: DataFrame, table: DataFrame, rows_per_task: int = ROWS_PER_SALT) -> DataFrame:
+def attach_by_article(
+    pairs: DataFrame, table: DataFrame, rows_per_task: int = ROWS_PER_SALT, salt: str = "claim_id"
+) -> DataFrame:
     """Join per-article columns to pairs.
 
     An article that occurs in more than ``rows_per_task`` pairs is spread over as many tasks as that asks for: its
-    pairs are salted by claim, and its row is copied once per salt. All others meet on the table's own bucketing.
+    pairs are salted by ``salt``, and its row is copied once per salt. All others meet on the table's own bucketing.
     """
     pairs = materialize(pairs, "pairs")
     hot = materialize(
@@ -369,7 +366,7 @@ def attach_by_article(pairs: DataFrame, table: DataFrame, rows_per_task: int = R
     if not hot.limit(1).count():
         return pairs.join(table, "article_id")
     cold = pairs.join(hot, "article_id", "left_anti").join(table, "article_id")
-    spread = pairs.join(hot, "article_id").withColumn("salt", salt_of(F.col("claim_id"), F.col("salts"))).drop("salts")
+    spread = pairs.join(hot, "article_id").withColumn("salt", salt_of(F.col(salt), F.col("salts"))).drop("salts")
     copies = table.join(hot, "article_id").withColumn("salt", all_salts(F.col("salts"))).drop("salts")
     # a text that lies in several tasks must not be broadcast back into one
     return cold.unionByName(spread.hint("merge").join(copies, ["article_id", "salt"]).select(cold.columns))

@@ -28,6 +28,8 @@ CHUNK_CHARS, CHUNK_ARTICLES = 4 << 20, 8192
 CLAIMS, VARIANTS = 256, 4096
 # Pairs of a claim and an article that are summed in one step, and frequent terms in one product.
 PAIRS, SLAB = 1 << 22, 1024
+# Keys of runs, with the article, below this fit one number.
+KEY_LIMIT = 1 << 62
 # Sums of weights are equal up to this.
 SLACK = 1e-7
 
@@ -80,7 +82,7 @@ def char_lists(texts: list[str], lengths: tuple[int, ...]):
     base, size = max(len(alphabet), 1), max(len(texts), 1)
     for n in lengths:
         start = np.flatnonzero(room >= n)
-        if base**n * size < 1 << 62:
+        if base**n * size < KEY_LIMIT:
             key = np.zeros(len(start), np.int64)
             for j in range(n):
                 key = key * base + codes[start + j]

@@ -113,35 +113,60 @@ SIGNALS = [
 ]
 
 
+def found_in(terms: Column, text: Column) -> Column:
+    """The terms of an array that occur in the text."""
+    return bind(text, lambda x: F.filter(terms, lambda t: F.contains(x, t)))
+
+
 def add_signals(pairs: DataFrame) -> DataFrame:
-    """Signals of joined claim and window rows, in two projections.
+    """Signals of joined claim and window rows, in three projections.
 
-    The first one counts hits, the second only does arithmetic on the counts, so that no
-    array is walked twice. The wide inputs are dropped right after the first.
+    The first one searches the texts, every term once per text; phrases of several words, distinctive tokens
+    and specific entities are subsets, counted in the second among what was found. The third is arithmetic.
     """
     keep = [c for c in pairs.columns if c not in CLAIM_ARRAYS + WINDOW_COLUMNS]
     col = F.col
-    hits = pairs.select(
+    found = pairs.select(
         *keep,
+        "title_n",
+        "distinctive",
         F.size("entities_s").alias("n_entities"),
-        matched_entities(col("entities_s"), col("entity_w")).alias("matched_entities"),
-        F.size(matched(col("entities_s"), col("event_w"))).alias("event_entities"),
         F.size("specific_s").alias("n_specific"),
-        F.size(matched(col("specific_s"), col("event_w"))).alias("specific_hits"),
-        number_date_match(col("numbers_s"), col("event_w"), col("event_digits")).alias(
-            "number_date_match"
-        ),
-        phrase_match(col("phrases"), col("title_n"), col("content_w")).alias("phrase_match"),
-        phrase_hits(col("phrases_multi"), col("title_n"), col("content_w")).alias("multi_hits"),
-        count_terms(col("title_n"), col("phrases_multi")).alias("multi_title_hits"),
+        F.transform("specific_s", lambda e: e["name"]).alias("specific"),
+        F.size("phrases").alias("n_phrases"),
         F.size("claim_tokens").alias("n_tokens"),
-        count_terms(col("title_n"), col("claim_tokens")).alias("token_title_hits"),
-        count_terms(col("content_w"), col("claim_tokens")).alias("token_content_hits"),
-        F.size("distinctive").alias("n_distinctive"),
-        count_terms(col("title_n"), col("distinctive")).alias("distinct_title_hits"),
-        count_terms(col("content_w"), col("distinctive")).alias("distinct_content_hits"),
+        matched_entities(col("entities_s"), col("entity_w")).alias("matched_entities"),
+        matched_entities(col("entities_s"), col("event_w")).alias("event_entities"),
+        number_date_match(col("numbers_s"), col("event_w"), col("event_digits")).alias("number_date_match"),
+        F.filter("phrases", lambda p: F.contains(col("title_n"), p) | F.contains(col("content_w"), p)).alias("phrases"),
+        found_in(col("claim_tokens"), col("title_n")).alias("title_tokens"),
+        found_in(col("claim_tokens"), col("content_w")).alias("content_tokens"),
         fact_check_flag(col("fact_w")).alias("fact_check_score"),
     )
+
+    def distinctive(tokens: str) -> Column:
+        return F.size(F.filter(tokens, lambda t: F.array_contains(col("distinctive"), t)))
+
+    multi = F.filter("phrases", lambda p: F.contains(p, F.lit(" ")))
+    hits = found.select(
+        *keep,
+        "matched_entities",
+        "n_entities",
+        "n_specific",
+        "n_tokens",
+        "number_date_match",
+        "fact_check_score",
+        F.size("event_entities").alias("event_entities"),
+        F.size(F.filter("event_entities", lambda e: F.array_contains(col("specific"), e))).alias("specific_hits"),
+        safe_ratio(F.size("phrases"), col("n_phrases")).alias("phrase_match"),
+        F.size(multi).alias("multi_hits"),
+        count_terms(col("title_n"), multi).alias("multi_title_hits"),
+        F.size("title_tokens").alias("token_title_hits"),
+        F.size("content_tokens").alias("token_content_hits"),
+        F.size("distinctive").alias("n_distinctive"),
+        distinctive("title_tokens").alias("distinct_title_hits"),
+        distinctive("content_tokens").alias("distinct_content_hits"),
+    )
     specificity = event_specificity(
         safe_ratio(col("token_title_hits"), col("n_tokens")),
         safe_ratio(col("token_content_hits"), col("n_tokens")),
@@ -167,7 +192,7 @@ def add_signals(pairs: DataFrame) -> DataFrame:
 
 
 CLAIM_ARRAYS = [
-    "entities_s", "specific_s", "numbers_s", "phrases", "phrases_multi", "claim_tokens", "distinctive",
+    "entities_s", "specific_s", "numbers_s", "phrases", "claim_tokens", "distinctive",
 ]
 WINDOW_COLUMNS = [
     "title_n", "content_w", "entity_w", "event_w", "fact_w", "event_digits", "identity_content",

@@ -82,28 +82,39 @@ def _pack(batches):
         )
 
 
+def _matrix(vectors: pa.ListArray, rows: int) -> np.ndarray:
+    """The flat buffer of a list of packed vectors as a matrix."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1).astype(np.float64)
+
+
+def _best_of(line: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k largest finite scores, ties by id: only what reaches the k-th score is sorted."""
+    some = np.flatnonzero(line > -np.inf)
+    if len(some) > k:
+        least = np.partition(line[some], len(some) - k)[len(some) - k]
+        some = some[line[some] >= least]
+    return some[np.lexsort((ids[some], -line[some]))[:k]]
+
+
 def _block_topk(k: int):
     def score(batches):
         for batch in batches:
-            for pair in batch.to_pylist():
-                queries, ids = pair["queries"], np.asarray(pair["ids"], dtype=np.int64)
-                corpus = np.asarray(pair["vectors"], dtype=np.float64).reshape(len(ids), -1)
-                asked = np.asarray([q["embedding"] for q in queries], dtype=np.float64)
-                scores = np.round(asked @ corpus.T, SCORE_DECIMALS)
-                out_q, out_a, out_s = [], [], []
-                for row, query in enumerate(queries):
-                    line = scores[row]
-                    if query["exclude_article_id"] is not None:
-                        line = np.where(ids == query["exclude_article_id"], -np.inf, line)
-                    best = np.lexsort((ids, -line))[:k]
-                    best = best[np.isfinite(line[best])]
-                    out_q.extend([query["query_id"]] * len(best))
-                    out_a.extend(ids[best].tolist())
-                    out_s.extend(line[best].tolist())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out_q, pa.int64()), pa.array(out_a, pa.int64()), pa.array(out_s, pa.float64())],
-                    names=["query_id", "article_id", "score"],
-                )
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c).slice(i, 1) for c in ("queries", "excluded", "asked", "ids", "vectors")}
+                queries = row["queries"].flatten().to_numpy(zero_copy_only=False)
+                ids = row["ids"].flatten().to_numpy(zero_copy_only=False)
+                excluded = row["excluded"].flatten()
+                never = excluded.is_null().to_numpy(zero_copy_only=False)
+                excluded = excluded.fill_null(0).to_numpy(zero_copy_only=False)
+                scores = np.round(_matrix(row["asked"], len(queries)) @ _matrix(row["vectors"], len(ids)).T, SCORE_DECIMALS)
+                out = []
+                for j, line in enumerate(scores):
+                    if not never[j]:
+                        line[ids == excluded[j]] = -np.inf
+                    best = _best_of(line, ids, k)
+                    out.append((np.full(len(best), queries[j]), ids[best], line[best]))
+                columns = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["query_id", "article_id", "score"])
 
     return score
 
@@ -124,7 +135,11 @@ def best_scores(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     packed_queries = (
         asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
         .groupBy("block")
-        .agg(F.collect_list(F.struct("query_id", "embedding", "exclude_article_id")).alias("queries"))
+        .agg(F.collect_list(F.struct("query_id", F.col("embedding").cast("array<double>").alias("embedding"), "exclude_article_id")).alias("q"))
+        .select(
+            "block", F.col("q.query_id").cast("array<bigint>").alias("queries"), F.col("q.exclude_article_id").cast("array<bigint>").alias("excluded"),
+            F.flatten("q.embedding").alias("asked"),
+        )
     )
     packed_articles = vectors.where(F.col("embedding").isNotNull()).select(
         F.col("article_id").cast("bigint").alias("article_id"),
@@ -140,7 +155,7 @@ def best_scores(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
         pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("ids"), salts).cast("int")).join(
             packed_queries.withColumn("salt", all_salts(salts)), ["block", "salt"]
         )
-    local = pairs.select("queries", "ids", "vectors").mapInArrow(
+    local = pairs.select("queries", "excluded", "asked", "ids", "vectors").mapInArrow(
         _block_topk(k), "query_id bigint, article_id bigint, score double"
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "article_id")

@@ -1,10 +1,11 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from claimweave.operators import candidates, cleaning, evaluation, lexical, profiling, rerank, vectors, verdict
+from claimweave.operators import candidates, cleaning, evaluation, inverted, lexical, profiling, rerank, vectors, verdict
 from claimweave.plans import retrieval, verification, views
 from claimweave.scale import with_row_index
 from claimweave.schema import SchemaMismatch, require_columns
@@ -142,8 +143,7 @@ def test_vector_topk_blocks(spark, data, monkeypatch):
 
 def test_identity_hits_equal_plain_search(spark, data, index):
     prepared = candidates.prepare_claims(views.claims(spark, data)).cache()
-    args = (prepared, index.windows, index.vocabulary_char)
-    a = rows(candidates.identity_hits(*args), "claim_id", "article_id", "hits")
+    a = rows(candidates.identity_hits(prepared, index), "claim_id", "article_id", "hits")
     assert a
     found = Counter()
     texts = index.windows.collect()
@@ -155,6 +155,63 @@ def test_identity_hits_equal_plain_search(spark, data, index):
     assert a == sorted(found)
 
 
+def test_char_lists_of_large_alphabets(monkeypatch):
+    texts = ["abcab", "", "ab", "\x00\x00a\x00", "नमस्ते नमस्ते", "😀😀😀b"]
+    want = {}
+    for i, t in enumerate(texts):
+        for n in (3, 4):
+            for term, tf in Counter(t[j : j + n] for j in range(len(t) - n + 1)).items():
+                want[(term, i)] = tf
+
+    def got():
+        out = {}
+        for terms, cuts, at, tf in inverted.char_lists(texts, (3, 4)):
+            for k, term in enumerate(terms):
+                out |= {(term, int(a)): int(n) for a, n in zip(at[cuts[k] : cuts[k + 1]], tf[cuts[k] : cuts[k + 1]])}
+        return out
+
+    assert got() == want
+    # as with an alphabet too large for keys of one number
+    monkeypatch.setattr(inverted, "KEY_LIMIT", 0)
+    assert got() == want
+
+
+def test_scores_stop_early_without_changing_the_best():
+    rng = np.random.default_rng(1)
+    size, depth = 400, 10
+    rows = []
+    for n in [*rng.integers(1, 60, 150), *rng.integers(150, 400, 12)]:
+        at = np.sort(rng.choice(size, n, replace=False))
+        rows.append((at, rng.random(n) * (0.02 if n > 100 else 1.0), np.array([0, 2]), rng.random(2)))
+    full = np.zeros((3, size))
+    for at, w, claim, q in rows:
+        full[np.ix_(claim, at)] += np.outer(q, w)
+    scores = inverted._Scores(3, size, rows)
+    scores.add_rare()
+    scores.drop_hopeless(depth, np.zeros(size, bool))
+    assert 0 < scores.kept.sum() < size
+    scores.add_frequent(scores.kept)
+    for claim in (0, 2):
+        best = scores.best(claim, depth)
+        assert best.tolist() == np.argsort(-full[claim], kind="stable")[:depth].tolist()
+        assert np.allclose(scores.sums[claim, best], full[claim, best])
+    assert len(scores.best(1, depth)) == 0
+
+
+def test_one_article_with_every_claim_lies_on_several_tasks(spark, index):
+    pairs = spark.range(200).select(F.col("id").alias("claim_id"), F.lit(5).cast("bigint").alias("article_id"))
+    pairs = pairs.unionByName(spark.createDataFrame([(1, 6), (2, 7)], "claim_id bigint, article_id bigint"))
+    table = index.articles.select("article_id", "title")
+    spread = candidates.attach_by_article(pairs, table, 10)
+    assert rows(spread, "claim_id", "article_id", "title") == rows(pairs.join(table, "article_id"), "claim_id", "article_id", "title")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = spread.where("article_id = 5").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks > 1
+
+
 def test_hot_terms_are_salted_without_changing_scores(spark, data, index):
     prepared = candidates.prepare_claims(views.claims(spark, data)).cache()
     weights = candidates.claim_term_weights(prepared, index, "char", char_original="q_original")
@@ -170,12 +227,19 @@ def test_hot_terms_are_salted_without_changing_scores(spark, data, index):
     assert a == b
 
 
-def test_retrieval_invariants(spark, data, index):
+def test_retrieval_invariants(spark, data, index, monkeypatch):
     claims, claim_vectors = views.claims(spark, data), views.claim_vectors(spark, data)
     found = retrieval.retrieve(claims, claim_vectors, index).cache()
-    again = retrieval.retrieve(claims, claim_vectors, index, allow_broadcast=False)
     columns = ("claim_id", "retrieval_rank", "article_id", "relevance")
+    # small blocks of claims, joins by shuffle and articles spread over tasks give the same rows
+    monkeypatch.setattr(inverted, "CLAIMS", 7)
+    monkeypatch.setattr(inverted, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(candidates.attach_by_article, "__defaults__", (3, "claim_id"))
+    again = retrieval.retrieve(claims, claim_vectors, index)
     assert rows(found, *columns) == rows(again, *columns)
+    # one claim alone ranks as in the batch
+    one = claims.where("claim_id = -1")
+    assert rows(retrieval.retrieve(one, claim_vectors, index), *columns) == rows(found.where("claim_id = -1"), *columns)
     # a claim never retrieves its own article
     own = found.join(claims.select("claim_id", "exclude_article_id"), "claim_id")
     assert own.where("article_id = exclude_article_id").count() == 0
