@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from claimweave.llm.components import components
 from claimweave.llm.shingles import column_sets, mix
-from claimweave.llm.tables import materialize, read_table
+from claimweave.llm.tables import lean, materialize, read_table
 
 # A token of so many sets is frequent.
 FREQUENT = 32
@@ -64,7 +64,7 @@ def set_sizes(documents: DataFrame) -> DataFrame:
             })
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("mark"))
-    return rows.mapInArrow(sizes, "doc_id bigint, mark bigint, digest bigint, n bigint")
+    return rows.mapInArrow(lean(sizes), "doc_id bigint, mark bigint, digest bigint, n bigint")
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -278,7 +278,7 @@ def links(documents: DataFrame, total: int) -> DataFrame:
     spark = documents.sparkSession
     buckets = 1 << max(3, (max(total, 1) // BUCKET_TOKENS).bit_length())
     parts = max(8, total // BUCKET_TOKENS)
-    sent = documents.select(F.lit(0), "text").mapInArrow(_send(buckets, parts), _SENT)
+    sent = documents.select(F.lit(0), "text").mapInArrow(lean(_send(buckets, parts)), _SENT)
     back = sent.groupBy("key").applyInArrow(_shared(parts), _BACK)
     sets = materialize(back.groupBy("part").applyInArrow(_candidates, _CANDIDATE), "join_sets")
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.llm import tokens
-from claimweave.llm.tables import add_running, bucket_count, hash_bucket, materialize, read_table
+from claimweave.llm.tables import add_running, bucket_count, hash_bucket, lean, materialize, read_table
 
 SIZE = 2048
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -48,7 +48,7 @@ def cut_documents(documents: DataFrame, tokenizer: str, end_id: int, size: int =
                 )
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(cut, PIECE)
+    return rows.mapInArrow(lean(cut), PIECE)
 
 
 def pack_histogram(histogram: dict[int, int], size: int = SIZE) -> list[tuple[int, tuple[int, ...]]]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm.tables import read_table, unused
+from claimweave.llm.tables import each_text, lean, read_table, unused
 
 # Bounds of the training sample: trusted positives, and unlabelled documents.
 POSITIVES = 4000
@@ -84,13 +84,13 @@ def featured(documents: DataFrame, key: str) -> DataFrame:
 
     def compute(batches):
         for batch in batches:
-            rows = [features(x or "") for x in batch.column(1).to_pylist()]
+            rows = [features(x or "") for x in each_text(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(rows, pa.list_(pa.float64()))], ["key", "features"]
             )
 
     kind = documents.schema[key].dataType.simpleString()
-    return documents.select(key, "text").mapInArrow(compute, f"key {kind}, features array<double>")
+    return documents.select(key, "text").mapInArrow(lean(compute), f"key {kind}, features array<double>")
 
 
 @dataclass(frozen=True)
@@ -183,13 +183,13 @@ def score(documents: DataFrame, model: Model | None) -> DataFrame:
 
     def compute(batches):
         for batch in batches:
-            x = np.array([features(t or "") for t in batch.column(1).to_pylist()], float).reshape(-1, FEATURES)
+            x = np.array([features(t or "") for t in each_text(batch.column(1))], float).reshape(-1, FEATURES)
             s = model.scores(x) if model else np.ones(len(x))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], ["row", "score"])
 
     packed = documents.select(F.struct(*kept).alias(row), F.col("text").alias(text))
     kind = packed.schema[row].dataType.simpleString()
-    done = packed.mapInArrow(compute, f"row {kind}, score double")
+    done = packed.mapInArrow(lean(compute), f"row {kind}, score double")
     return done.select("row.*", "score")
 
 

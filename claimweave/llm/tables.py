@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +33,29 @@ def local_path(uri: str) -> str | None:
     return None if "://" in uri else os.path.abspath(uri)
 
 
+def lean(function: Callable) -> Callable:
+    """A function of Arrow batches that hands free memory back to the system when its task ends.
+
+    Python workers serve one task after the other, so what one of them keeps is missing to the next stage.
+    """
+
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not with this C library
+            pass
+
+    return run
+
+
+def each_text(column: pa.Array, rows: int = 256) -> Iterator[str | None]:
+    """The texts of an Arrow column, a few at a time as Python objects."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()
+
+
 def unused(taken: list[str], *names: str) -> list[str]:
     """Column names near ``names`` that do not clash with ``taken`` (compared without case)."""
     low, out = {c.lower() for c in taken}, []
@@ -92,6 +118,6 @@ def add_running(
 
 
 __all__ = [
-    "WORD", "add_running", "bucket_count", "group_key", "hash_bucket", "local_path", "materialize",
+    "WORD", "add_running", "bucket_count", "each_text", "group_key", "hash_bucket", "lean", "local_path", "materialize",
     "new_folder", "read_table", "shared_dir", "unused",
 ]

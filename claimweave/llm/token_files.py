@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimweave.llm import tokens
-from claimweave.llm.tables import local_path, materialize, new_folder, read_table
+from claimweave.llm.tables import lean, local_path, materialize, new_folder, read_table
 
 # Ids below this get the flag for a null document id, which has no 64-bit value of its own.
 NULL_ID = np.iinfo(np.int64).min
@@ -57,7 +57,9 @@ def write_tokens(documents: DataFrame, folder: str, tokenizer: str, end_id: int)
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id, or without, spread by their texts
+    ordered = rows.withColumn("mark", F.xxhash64("text"))
+    ordered = ordered.repartitionByRange(n, "doc_id", "mark").sortWithinPartitions("doc_id", "mark", "text").drop("mark")
     schema = "part int, file string, dtype string, documents bigint, tokens bigint"
 
     def write(batches):
@@ -88,7 +90,7 @@ def write_tokens(documents: DataFrame, folder: str, tokenizer: str, end_id: int)
                 "documents": [count], "tokens": [total],
             })
 
-    table = materialize(ordered.mapInArrow(write, schema), "token_files")
+    table = materialize(ordered.mapInArrow(lean(write), schema), "token_files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return table.select(
         "*",

@@ -1,8 +1,8 @@
 """Token ids of whole texts by a file of the tokenizers library.
 
-Texts of plain characters go word by word through a bounded cache, which gives the same ids for
-tokenizers that lower-case, drop white space and split words from signs; all other texts and
-tokenizers go through the library whole.
+Texts of plain characters go word by word, for tokenizers that lower-case, drop white space and split words
+from signs: every word gets a number, new words are cut and encoded together, and the ids of a group of texts are
+gathered from the words' ids in one step. All other texts and tokenizers go through the library whole.
 """
 
 from __future__ import annotations
@@ -10,18 +10,19 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count, islice
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Texts are encoded in groups of about this many characters, the library gets so many words at once,
-# and so many words are cached.
-GROUP_CHARS = 1 << 21
-CALL_WORDS = 2048
-CACHE_WORDS = 500_000
-LONG_WORD = 11
+# and words are forgotten after a group that leaves more than so many.
+GROUP_CHARS = 1 << 20
+CALL_WORDS = 512
+CACHE_WORDS = 1 << 18
 
 # ASCII and Latin-1 without controls: NFC leaves it alone and lower case is one letter for one.
 _PLAIN = re.compile(r"[\t\n\x0b\x0c\r\x20-\x7e\xa1-\xff]*")
@@ -46,81 +47,105 @@ class Encoder:
     """Encodes lists of texts; one per worker and file, see ``encoder``."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        import regex
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            self.by_word = _by_word(json.load(file))
-        # Whether a token ends a word: words of letters joined by spaces can be told apart again.
-        names = sorted(self.tokenizer.get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])
-        self.ends = np.zeros(names[-1][1] + 1, bool)
-        self.ends[[i for name, i in names if name.endswith("</w>")]] = True
+            spec = json.load(file)
+        self.by_word = _by_word(spec)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for at in range(0, len(texts), CALL_WORDS):  # encodings are large objects: few at a time
-            found = self.tokenizer.encode_batch_fast(texts[at : at + CALL_WORDS], add_special_tokens=False)
-            out += [np.array(x.ids, self.dtype).tobytes() for x in found]
-        return out
-
-    def _letters(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters, many in one text, which spares the library's costs per text."""
-        out: list[bytes] = []
-        size = self.dtype.itemsize
-        for at in range(0, len(words), CALL_WORDS):
-            some = words[at : at + CALL_WORDS]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.dtype)
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) != len(some) or last[-1] != len(ids):
-                out += self._library(some)
-                continue
-            data, cuts = ids.tobytes(), [0, *(last * size).tolist()]
-            out += [data[a:z] for a, z in zip(cuts, cuts[1:])]
-        return out
-
-    def _learn(self, words: set[str]) -> list[str]:
-        """Caches the ids of new words and returns those to forget again: long ones hardly ever come back.
-
-        A word of letters before full stops or commas is two pieces.
-        """
-        cut = {}
-        for w in words:
-            base = w.rstrip(".,")
-            if base and base != w and base.isalpha():
-                cut[w] = base
-        # difference() looks words up in the cache; a minus sign would walk through all of it.
-        parts = set(cut.values()).union([w[len(base):] for w, base in cut.items()], words.difference(cut)).difference(self.cache)
-        plain = [p for p in parts if p.isalpha()]
-        other = [p for p in parts if not p.isalpha()]
-        cache = self.cache
-        cache.update(zip(plain, self._letters(plain)))
-        cache.update(zip(other, self._library(other)))
-        for w, base in cut.items():
-            cache[w] = cache[base] + cache[w[len(base):]]
-        return [w for some in (cut, plain, other) for w in some if len(w) > LONG_WORD]
+        if self.by_word:
+            # The model alone, for words that are lower-cased, cut and spelled in byte symbols already.
+            lean = {"normalizer": None, "post_processor": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}
+            self.model = Tokenizer.from_str(json.dumps(spec | lean))
+            symbols = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.symbols = {c: "".join(x for x, _ in symbols.pre_tokenize_str(chr(c))) for c in range(0xA1, 0x100)}
+            self.pieces = regex.compile(_SPLIT).findall
+            # Whether a token ends a word: words joined by spaces can be told apart again.
+            names = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.ends = np.zeros(max(names.values()) + 1, bool)
+            self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        """No words: their numbers, and for each number where its ids start and how many they are."""
+        self.numbers: dict[str, int] = defaultdict(count().__next__)
+        self.ids = np.zeros(0, self.dtype)
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _library(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, one after the other, and their numbers of ids; many pieces go in one text."""
+        ids, sizes = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
+        for at in range(0, len(pieces), CALL_WORDS):
+            some = pieces[at : at + CALL_WORDS]
+            found = np.array(
+                self.model.encode_batch_fast([" ".join(some).translate(self.symbols)], add_special_tokens=False)[0].ids, self.dtype
+            )
+            last = np.flatnonzero(self.ends[found]) + 1
+            if len(last) == len(some) and last[-1] == len(found):
+                ids.append(found)
+                sizes.append(np.diff(last, prepend=0))
+            else:
+                each = [self._library(p) for p in some]
+                ids += each
+                sizes.append(np.array([len(x) for x in each], np.int64))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _learn(self) -> None:
+        """Ids of all words without ids yet. Words that are several pieces get the ids of the pieces."""
+        known, numbers = len(self.size), self.numbers
+        cut: dict[int, list[int]] = {}
+        for word, n in list(islice(numbers.items(), known, None)):
+            if not word.isalpha():
+                parts = self.pieces(word)
+                if parts != [word]:
+                    cut[n] = [numbers[p] for p in parts]
+        fresh = list(islice(numbers, known, None))
+        whole = [i for i in range(known, len(numbers)) if i not in cut]
+        ids, size = self._encode_pieces([fresh[i - known] for i in whole])
+        first = len(self.ids) + np.cumsum(size) - size
+        self.start, self.size = (np.r_[x, np.zeros(len(fresh), np.int64)] for x in (self.start, self.size))
+        self.start[whole], self.size[whole] = first, size
+        self.ids = np.r_[self.ids, ids]
+        if cut:
+            parts = np.array([p for x in cut.values() for p in x], np.int64)
+            owner = np.repeat(np.arange(len(cut)), [len(x) for x in cut.values()])
+            own = np.array(list(cut), np.int64)
+            self.size[own] = np.bincount(owner, self.size[parts], len(cut)).astype(np.int64)
+            self.start[own] = len(self.ids) + np.cumsum(self.size[own]) - self.size[own]
+            self.ids = np.r_[self.ids, self._gather(parts)]
+
+    def _gather(self, numbers: np.ndarray) -> np.ndarray:
+        size = self.size[numbers]
+        ahead = np.cumsum(size) - size
+        return self.ids[np.repeat(self.start[numbers] - ahead, size) + np.arange(size.sum())]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian integers of ``dtype``."""
         out: list[bytes] = [b""] * len(texts)
-        split, whole = [], []
+        split, found = [], [np.zeros(0, np.int32)]
         for i, text in enumerate(texts):
             if self.by_word and "<|" not in text and _PLAIN.fullmatch(text):
-                split.append((i, text.lower().split()))
+                words = text.lower().split()
+                split.append(i)
+                found.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
             else:
-                whole.append(i)
-        every = set().union(*[words for _, words in split])
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        passing = self._learn(every.difference(self.cache))
-        get = self.cache.__getitem__
-        for i, words in split:
-            out[i] = b"".join(map(get, words))
-        for w in passing:
-            del self.cache[w]
-        for i in whole:
-            out[i] = self._library([texts[i]])[0]
+                out[i] = self._library(text).tobytes()
+        if split:
+            if len(self.numbers) > len(self.size):
+                self._learn()
+            numbers = np.concatenate(found)
+            total = np.r_[0, np.cumsum(self.size[numbers])]
+            cuts = (total[np.cumsum([len(x) for x in found])] * self.dtype.itemsize).tolist()
+            data = self._gather(numbers).tobytes()
+            for i, a, z in zip(split, cuts, cuts[1:]):
+                out[i] = data[a:z]
+        if len(self.numbers) > CACHE_WORDS:
+            self._forget()
         return out
 
 
