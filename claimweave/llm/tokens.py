@@ -21,8 +21,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 # Texts are encoded in groups of about this many characters, the library gets so many words at once,
 # and words are forgotten after a group that leaves more than so many.
 GROUP_CHARS = 1 << 20
-CALL_WORDS = 512
-CACHE_WORDS = 1 << 18
+CALL_WORDS = 256
+CACHE_WORDS = 1 << 19
 
 # ASCII and Latin-1 without controls: NFC leaves it alone and lower case is one letter for one.
 _PLAIN = re.compile(r"[\t\n\x0b\x0c\r\x20-\x7e\xa1-\xff]*")
@@ -33,8 +33,11 @@ def _by_word(spec: dict) -> bool:
     """Whether white space only separates, so that words can be encoded one by one."""
     kinds = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
     pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    model = spec["model"]
     return (
-        kinds == ["NFC", "Replace", "Lowercase"]
+        model["type"] == "BPE" and model["end_of_word_suffix"] == "</w>"
+        and not any(model.get(x) for x in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+        and kinds == ["NFC", "Replace", "Lowercase"]
         and spec["normalizer"]["normalizers"][1] == {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
         and [x["type"] for x in pre] == ["Split", "ByteLevel"]
         and pre[0] == {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True}
@@ -48,7 +51,7 @@ class Encoder:
 
     def __init__(self, path: str):
         import regex
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
@@ -56,9 +59,12 @@ class Encoder:
         self.by_word = _by_word(spec)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         if self.by_word:
-            # The model alone, for words that are lower-cased, cut and spelled in byte symbols already.
-            lean = {"normalizer": None, "post_processor": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}
-            self.model = Tokenizer.from_str(json.dumps(spec | lean))
+            # The model alone, for words that are lower-cased, cut and spelled in byte symbols already. All of
+            # them are new, so its own cache would only cost time.
+            merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in spec["model"]["merges"]]
+            bpe = models.BPE(spec["model"]["vocab"], merges, cache_capacity=0, end_of_word_suffix="</w>")
+            self.model = Tokenizer(bpe)
+            self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
             symbols = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
             self.symbols = {c: "".join(x for x, _ in symbols.pre_tokenize_str(chr(c))) for c in range(0xA1, 0x100)}
             self.pieces = regex.compile(_SPLIT).findall
