@@ -20,11 +20,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.llm.tables import (
-    WORD, add_running, bucket_count, group_key, hash_bucket, materialize, read_table, unused,
+    WORD, add_running, bucket_count, group_key, hash_bucket, materialize, read_table,
 )
 from claimweave.scale import with_row_index
 
-# Words in a block; targets are met to within about half a block.
+# Most words in a block; targets are met to within about half a block. A block is at most half the smallest
+# target, so that every source with a target gets seats.
 BLOCK_WORDS = 64
 SEED = 29
 
@@ -103,7 +104,7 @@ def apportion(sources: DataFrame, house: int, name: str, passes: int = 12, width
 
 
 def source_quotas(rows: DataFrame, source: str, size: str, mix: Mix) -> DataFrame:
-    """(key, rank, source_size, weight, target, quotas, quota): blocks per source, and per shard.
+    """(key, rank, source_size, weight, target, block, quotas, quota): words of a block, blocks per shard and in all.
 
     Null is a source of its own, after all others.
     """
@@ -113,7 +114,9 @@ def source_quotas(rows: DataFrame, source: str, size: str, mix: Mix) -> DataFram
     for i, w in enumerate(mix.weights[:-1]):
         weight = F.when(F.col("rank") % len(mix.weights) == i, w).otherwise(weight)
     out = materialize(_targets(materialize(ranked.withColumn("weight", weight), "mix"), mix), "mix")
-    house = round((out.agg(F.sum("target")).first()[0] or 0.0) / mix.block)
+    total, least = out.agg(F.sum("target"), F.min(F.when(F.col("target") > 0, F.col("target")))).first()
+    block = int(max(1, min(mix.block, (least or 0) / 2)))
+    house = round((total or 0.0) / block)
     names = [f"_seats_{j}" for j in range(1, mix.shards + 1)]
     base = out
     for j, name in enumerate(names, 1):
@@ -122,7 +125,7 @@ def source_quotas(rows: DataFrame, source: str, size: str, mix: Mix) -> DataFram
     out = materialize(out, "mix")
     steps = [F.col(b) - (F.col(a) if a else 0) for a, b in zip([None, *names], names)]
     return out.select(
-        "key", "rank", "source_size", "weight", "target",
+        "key", "rank", "source_size", "weight", "target", F.lit(block).alias("block"),
         F.array(*steps).alias("quotas"), F.col(names[-1]).alias("quota"),
     )
 
@@ -131,12 +134,14 @@ def mix_sources(rows: DataFrame, source: str, size: str, tie: list[str], mix: Mi
     """Every row of ``rows`` with what the mix takes of it.
 
     Adds ``source_size``, ``target`` (its source's) and ``taken`` (words, repeats counted),
-    and of the words taken one time more than the rest ``head`` (the first ones) and ``tail`` (the last ones).
+    of the words taken one time more than the rest ``head`` (the first ones) and ``tail`` (the last ones), and
+    ``shard``, the shard whose blocks take the row's first words (null where nothing is taken): a shard has the
+    next blocks of the ring, as many as its quota of the source.
     ``size`` counts a row's words; null counts as 0. Nothing is taken of a row of size 0, an
     empty table stays empty. Rows equal in ``tie`` and size are interchangeable.
     Clashing columns of the input are replaced.
     """
-    added = ["source_size", "target", "taken", "head", "tail"]
+    added = ["source_size", "target", "taken", "head", "tail", "shard"]
     kept = [c for c in rows.columns if c.lower() not in added]
     base = rows.select(
         F.struct(*kept).alias("row"),
@@ -147,14 +152,14 @@ def mix_sources(rows: DataFrame, source: str, size: str, tie: list[str], mix: Mi
     )
     base = materialize(base.withColumn("bucket", hash_bucket(F.col("draw"), bucket_count(rows.count()))), "mix_rows")
     quotas = source_quotas(base, "key", "size", mix).withColumn("key", F.substring("key", 2, 2_000_000_000))
-    facts = quotas.select("key", "source_size", "target", "quota")
+    facts = quotas.select("key", "source_size", "target", "quota", "block", "quotas")
     order = [F.col("draw"), F.col("tie"), F.col("size")]
     at = add_running(base, ["key"], "bucket", order, F.col("size"), "at", facts=facts)
-    words = F.least(F.col("quota") * mix.block, F.col("source_size") * mix.most)
-    blocks = F.greatest(F.ceil(F.col("source_size") / mix.block), F.lit(1))
+    words = F.least(F.col("quota") * F.col("block"), F.col("source_size") * mix.most)
+    blocks = F.greatest(F.ceil(F.col("source_size") / F.col("block")), F.lit(1))
     ring = (
         at.withColumn("words", words)
-        .withColumn("start", F.pmod(F.xxhash64(F.lit(mix.seed), "key"), blocks) * mix.block)
+        .withColumn("start", F.pmod(F.xxhash64(F.lit(mix.seed), "key"), blocks) * F.col("block"))
         .withColumn("rounds", F.when(F.col("source_size") > 0, F.expr("words div source_size")).otherwise(0))
         .withColumn("stop", F.col("start") + F.col("words") - F.col("rounds") * F.col("source_size"))
         .withColumn("end", F.col("at") + F.col("size"))
@@ -167,12 +172,20 @@ def mix_sources(rows: DataFrame, source: str, size: str, tie: list[str], mix: Mi
     straight = overlap(F.col("start"), F.col("stop"))
     wrapped = overlap(F.lit(0), F.col("stop") - F.col("source_size"))
     first = F.when(F.col("at") >= F.col("start"), straight).otherwise(0)
+    taken = F.col("rounds") * F.col("size") + straight + wrapped
+    # the block of the first word taken, and the shards whose blocks all lie before it
+    ahead = F.when((F.col("at") < F.col("start")) & (F.col("end") > F.col("start")), 0).otherwise(
+        F.pmod(F.col("at") - F.col("start"), F.col("source_size"))
+    )
+    upto = F.transform("quotas", lambda q, i: F.aggregate(F.slice("quotas", 1, i + 1), F.lit(0).cast("bigint"), lambda a, x: a + x))
+    shard = F.least(F.size(F.filter(upto, lambda q: q * F.col("block") <= ahead)), F.lit(mix.shards - 1))
     return ring.select(
         *[F.col("row").getField(c).alias(c) for c in kept],
         "source_size", "target",
-        (F.col("rounds") * F.col("size") + straight + wrapped).cast("bigint").alias("taken"),
+        taken.cast("bigint").alias("taken"),
         (first + wrapped).cast("bigint").alias("head"),
         (straight - first).cast("bigint").alias("tail"),
+        F.when(taken > 0, shard).alias("shard"),
     )
 
 
@@ -187,31 +200,34 @@ def mixed_documents(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     never taken.
     """
     columns = documents.columns
-    size, mark = unused(columns, "_words", "_mark")
-    # A hash of the text draws the order, so that the text itself moves only once.
-    sized = documents.withColumn(size, word_count(F.col("text"))).withColumn(mark, F.xxhash64("text"))
-    mixed = mix_sources(sized, "source", size, ["doc_id", mark], mix)
-    words = F.regexp_extract_all(F.col("text"), F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0))
+    # The documents travel as one column, so no column of theirs can clash. A hash of the text draws the order,
+    # so that the text itself moves only once.
+    sized = documents.select(
+        F.struct(*columns).alias("doc"), F.col("source").alias("of"), F.col("doc_id").alias("id"),
+        word_count(F.col("text")).alias("words"), F.xxhash64("text").alias("mark"),
+    )
+    mixed = mix_sources(sized, "of", "words", ["id", "mark"], mix)
+    text = F.col("doc").getField("text")
+    words = F.regexp_extract_all(text, F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0))
     part = lambda a, n: F.array_join(F.slice(words, a, n), "")
     none = F.array().cast("array<string>")
-    whole, n = F.expr("taken - head - tail"), F.col(size)
+    whole, n = F.expr("taken - head - tail"), F.col("words")
     pieces = F.concat(
-        F.when(n > 0, F.array_repeat(F.col("text"), (whole / n).cast("int"))).otherwise(none),
-        F.when((n > 0) & (F.col("head") == n), F.array("text"))
+        F.when(n > 0, F.array_repeat(text, (whole / n).cast("int"))).otherwise(none),
+        F.when((n > 0) & (F.col("head") == n), F.array(text))
         .when(F.col("head") > 0, F.array(part(F.lit(1), F.col("head").cast("int"))))
         .otherwise(none),
         F.when(
             F.col("tail") > 0, F.array(part((n - F.col("tail") + 1).cast("int"), F.col("tail").cast("int")))
         ).otherwise(none),
     )
-    out = mixed.withColumn("text", F.explode(pieces))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast("bigint"))
-    return out.select(*columns)
+    out = mixed.select("doc", F.explode(pieces).alias("piece"))
+    new = {"text": F.col("piece"), "n_chars": F.char_length("piece").cast("bigint")}
+    return out.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in columns])
 
 
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """What the mix takes of every document."""
     documents = read_table(spark, folder, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     mixed = mix_sources(documents, "source", "size", ["doc_id"])
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "shard")

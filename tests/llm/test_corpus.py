@@ -97,6 +97,31 @@ def test_mix(spark):
     assert brute.same([(r.doc_id, r.taken) for r in found], [(r.doc_id, r.taken) for r in again])
 
 
+def test_mix_of_many_small_sources(spark):
+    rows = [(i, "w " * 5, "s%03d" % i) for i in range(200)] + [(1000 + i, "w " * 300, "t%d" % (i % 3)) for i in range(60)]
+    counted = frame(spark, rows).withColumn("size", mixing.word_count(F.col("text")))
+    found = mixing.mix_sources(counted, "source", "size", ["doc_id"]).collect()
+    targets, taken = {r.source: r.target for r in found}, Counter()
+    for r in found:
+        taken[r.source] += r.taken
+        assert r.taken <= 2 * r.size and (r.shard is None) == (r.taken == 0)
+    least = min(targets.values())
+    assert all(abs(taken[s] - t) <= least / 2 for s, t in targets.items())
+    assert {r.shard for r in found if r.source[0] == "t" and r.taken} == {0, 1, 2, 3}
+
+
+def test_mix_keeps_columns_of_its_own_names(spark):
+    names = ["taken", "target", "source_size", "head", "tail", "shard", "key", "row", "words", "doc", "size"]
+    rows = [(i, "a b c d e f", "s%d" % (i % 2)) for i in range(10)]
+    df = frame(spark, rows)
+    for name in names:
+        df = df.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    out = mixing.mixed_documents(df)
+    assert out.columns == df.columns
+    own = out.collect()
+    assert own and all(r[name] == f"{name}{r.doc_id}" for r in own for name in names)
+
+
 def test_apportion_takes_highest_quotients(spark):
     rng = random.Random(6)
     targets = [rng.choice([0.0, 5.0, 10.0, rng.random() * 100]) for _ in range(40)]
