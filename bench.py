@@ -57,6 +57,7 @@ def main() -> None:
     timed("index_build", lambda: index_store.save_index(articles, own, f"{scratch}/index", int(cpus)))
     index = index_store.load_index(spark, f"{scratch}/index")
     timed("retrieve", lambda: run(retrieval.retrieve(claims, claim_vectors, index)))
+    timed("retrieve_one_claim", lambda: run(retrieval.retrieve(claims.where("claim_id = -1"), claim_vectors, index)))
     timed("verify", lambda: run(verification.verify(claims, claim_vectors, index).prompts))
     n_claims = claims.count()
     print(json.dumps({

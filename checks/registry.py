@@ -108,6 +108,11 @@ def joined(column, by="|"):
     return F.array_join(column, by)
 
 
+def label_text(df: DataFrame) -> DataFrame:
+    """Labels as text, so that a missing one compares the same way in both engines."""
+    return df.withColumn("label", F.coalesce(F.col("label").cast("string"), F.lit("none")))
+
+
 def big(column):
     return F.col(column).cast("bigint").alias(column) if isinstance(column, str) else column.cast("bigint")
 
@@ -120,22 +125,23 @@ ARTICLES = "article_id, url, title, content, label"
 def _csv_copy(spark, d):
     def build():
         path = f"{shared_dir(spark)}/articles-csv-{uuid.uuid4().hex}"
-        tables.write_articles(views.labelled_articles(spark, d), path)
+        tables.write_articles(views.articles(spark, d), path)
         return path
 
     return _once(spark, d, "csv", build)
 
 
-@register("source_articles_csv", query(f"SELECT {ARTICLES} FROM labelled", "labelled"))
+@register("source_articles_csv", query(
+    "SELECT article_id, url, nullif(title, '') AS title, nullif(content, '') AS content, coalesce(CAST(label AS VARCHAR), 'none') AS label FROM articles", "articles"))
 def _(spark, d):
-    return tables.read_articles_csv(spark, _csv_copy(spark, d))
+    return label_text(tables.read_articles_csv(spark, _csv_copy(spark, d)))
 
 
-@register("source_fallback", query("SELECT label, count(*) AS articles FROM labelled GROUP BY label", "labelled"))
+@register("source_fallback", query("SELECT coalesce(CAST(label AS VARCHAR), 'none') AS label, count(*) AS articles FROM articles GROUP BY ALL", "articles"))
 def _(spark, d):
     paths = [f"{shared_dir(spark)}/not-there", _csv_copy(spark, d)]
     found = tables.read_first_available(spark, paths)
-    return found.groupBy("label").agg(F.count("*").alias("articles"))
+    return label_text(found.groupBy("label").agg(F.count("*").alias("articles")))
 
 
 @register("source_raw_sheet", query(
@@ -152,16 +158,16 @@ def _(spark, d):
 
 
 @register("sink_reports", query(
-    "SELECT label, count(*) AS article_count, round(avg(length(title)), 6) AS avg_title_length, "
-    "round(avg(length(content)), 6) AS avg_content_length FROM labelled GROUP BY label", "labelled"))
+    "SELECT coalesce(CAST(label AS VARCHAR), 'none') AS label, count(*) AS article_count, round(avg(length(title)), 6) AS avg_title_length, "
+    "round(avg(length(content)), 6) AS avg_content_length FROM articles GROUP BY ALL", "articles"))
 def _(spark, d):
     from claimweave.plans.profile import profile
 
     path = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
-    profile(views.labelled_articles(spark, d), path)
+    profile(views.articles(spark, d), path)
     schema = "label int, article_count bigint, avg_title_length double, avg_content_length double"
     back = spark.read.option("header", "true").schema(schema).csv(f"{path}/label_statistics")
-    return back.select(
+    return label_text(back).select(
         "label", "article_count", F.round("avg_title_length", 6).alias("avg_title_length"),
         F.round("avg_content_length", 6).alias("avg_content_length"),
     )
@@ -214,14 +220,14 @@ def _(spark, d):
 # --- profiling --------------------------------------------------------------------------
 
 
-@register("profile_row_count", query("SELECT count(*) AS row_count FROM labelled", "labelled"))
+@register("profile_row_count", query("SELECT count(*) AS row_count FROM articles", "articles"))
 def _(spark, d):
-    return profiling.row_count(views.labelled_articles(spark, d))
+    return profiling.row_count(views.articles(spark, d))
 
 
-@register("profile_label_distribution", query('SELECT label, count(*) AS "count" FROM labelled GROUP BY label', "labelled"))
+@register("profile_label_distribution", query("SELECT coalesce(CAST(label AS VARCHAR), 'none') AS label, count(*) AS \"count\" FROM articles GROUP BY ALL", "articles"))
 def _(spark, d):
-    return profiling.label_distribution(views.labelled_articles(spark, d))
+    return label_text(profiling.label_distribution(views.articles(spark, d)))
 
 
 @register("profile_data_quality", query(
@@ -239,32 +245,32 @@ def _(spark, d):
 @register("profile_length_statistics", query(
     "SELECT round(avg(length(title)), 6) AS average_title_length, round(avg(length(content)), 6) AS average_content_length, "
     "round(avg(length(content)) FILTER (label = 0), 6) AS avg_content_length_label_0, "
-    "round(avg(length(content)) FILTER (label = 1), 6) AS avg_content_length_label_1 FROM labelled", "labelled"))
+    "round(avg(length(content)) FILTER (label = 1), 6) AS avg_content_length_label_1 FROM articles", "articles"))
 def _(spark, d):
-    stats = profiling.length_statistics(views.labelled_articles(spark, d))
+    stats = profiling.length_statistics(views.articles(spark, d))
     return stats.select(*[F.round(c, 6).alias(c) for c in stats.columns])
 
 
 @register("label_statistics", query(
-    "SELECT label, count(*) AS article_count, round(avg(length(title)), 6) AS avg_title_length, "
-    "round(avg(length(content)), 6) AS avg_content_length FROM labelled GROUP BY label ORDER BY label", "labelled"))
+    "SELECT coalesce(CAST(label AS VARCHAR), 'none') AS label, count(*) AS article_count, round(avg(length(title)), 6) AS avg_title_length, "
+    "round(avg(length(content)), 6) AS avg_content_length FROM articles GROUP BY ALL", "articles"))
 def _(spark, d):
-    return profiling.label_statistics(views.labelled_articles(spark, d)).select(
+    return label_text(profiling.label_statistics(views.articles(spark, d))).select(
         "label", "article_count", F.round("avg_title_length", 6).alias("avg_title_length"),
         F.round("avg_content_length", 6).alias("avg_content_length"),
     )
 
 
 @register("profile_longest_articles", query(
-    "SELECT article_id, title, length(content) AS content_length, label FROM labelled ORDER BY length(content) DESC, article_id LIMIT 10", "labelled"))
+    "SELECT article_id, title, length(content) AS content_length, coalesce(CAST(label AS VARCHAR), 'none') AS label FROM articles ORDER BY length(content) DESC, article_id LIMIT 10", "articles"))
 def _(spark, d):
-    top = profiling.longest_articles(views.labelled_articles(spark, d))
-    return top.withColumn("content_length", big("content_length"))
+    top = profiling.longest_articles(views.articles(spark, d))
+    return label_text(top).withColumn("content_length", big("content_length"))
 
 
-@register("profile_sample_articles", query("SELECT article_id, title, label FROM labelled ORDER BY article_id LIMIT 10", "labelled"))
+@register("profile_sample_articles", query("SELECT article_id, title, coalesce(CAST(label AS VARCHAR), 'none') AS label FROM articles ORDER BY article_id LIMIT 10", "articles"))
 def _(spark, d):
-    return profiling.sample_articles(views.labelled_articles(spark, d))
+    return label_text(profiling.sample_articles(views.articles(spark, d)))
 
 
 @register("profile_label_violations", query(
@@ -288,9 +294,9 @@ def _(spark, d):
 
 @register("profile_dataset_audit", query(
     "SELECT count(*) AS row_count, " + ", ".join(f"count(*) FILTER ({c} IS NULL) AS null_{c}" for c in ARTICLES.split(", "))
-    + ", concat('0=', count(*) FILTER (label = 0), ',1=', count(*) FILTER (label = 1)) AS label_distribution, 'PASS' AS status FROM labelled", "labelled"))
+    + ", concat('0=', count(*) FILTER (label = 0), ',1=', count(*) FILTER (label = 1)) AS label_distribution, CASE WHEN " + " AND ".join(f"count({c}) = count(*)" for c in ARTICLES.split(", ")) + " THEN 'PASS' ELSE 'FAIL' END AS status FROM articles", "articles"))
 def _(spark, d):
-    audit = profiling.dataset_audit(views.labelled_articles(spark, d))
+    audit = profiling.dataset_audit(views.articles(spark, d))
     pairs = F.transform(F.map_entries("label_distribution"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
     return audit.withColumn("label_distribution", F.array_join(pairs, ","))
 

@@ -106,15 +106,15 @@ def decimal_rounding(statement: str) -> str:
 
 cte("articles", "", """
 SELECT d.doc_id AS article_id, concat('https://', d.source, '.example/', CAST(d.doc_id AS VARCHAR)) AS url,
-  substr(split_part(d.text, chr(10), 1), 1, 200) AS title, d.text AS content, l.quality AS label
+  split_part(d.text, chr(10), 1) AS title, d.text AS content, l.quality AS label
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 cte("labelled", "articles", "SELECT * FROM articles WHERE label IS NOT NULL")
 cte("sample", "labelled", """
 SELECT article_id, url, title, content, label FROM (SELECT *, row_number() OVER (PARTITION BY label
   ORDER BY md5(concat(CAST(article_id AS VARCHAR), ':42')), article_id) AS rn FROM labelled) WHERE rn <= 5""")
 
-_ENT = "list_sort(list_distinct(regexp_extract_all({0}, '[\\p{{L}}]{{6,}}')))[1:4]"
-_NUM = "list_sort(list_distinct(regexp_extract_all(substr({0}, 1, 2000), '[0-9]{{2,}}')))[1:3]"
+_ENT = "list_sort(list_distinct(regexp_extract_all({0}, '[\\p{{L}}]{{6,}}')))"
+_NUM = "list_sort(list_distinct(regexp_extract_all({0}, '[0-9]{{2,}}')))"
 cte("claims", "sample", f"""
 SELECT article_id AS claim_id, title AS claim, title AS source_title, content AS source_content,
   {_ENT.format('title')} AS entities, {_NUM.format('content')} AS numbers_dates,
@@ -203,12 +203,12 @@ SELECT {key}, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY {key})) AS w FR
 
 
 cte("search", "articles", f"SELECT article_id, {collapse("concat_ws(' ', coalesce(title, ''), coalesce(title, ''), coalesce(content, ''))")} AS t FROM articles")
-for _channel, _rule, _cap in (("word", "df >= 2 AND df <= 0.98::DOUBLE * n", 300000), ("char", "df >= 3", 200000)):
+for _channel, _rule in (("word", "df >= 2 AND df <= 0.98::DOUBLE * n"), ("char", "df >= 3")):
     lexical(f"{_channel}_post", "search", "article_id", "t", _channel, "search")
     cte(f"{_channel}_voc", f"{_channel}_post_cnt articles", f"""
 SELECT term, df, total, ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1.0 AS idf FROM (
   SELECT term, count(*) AS df, sum(tf)::BIGINT AS total, (SELECT count(*) FROM articles)::DOUBLE AS n
-  FROM {_channel}_post_cnt GROUP BY term) WHERE {_rule} ORDER BY total DESC, term LIMIT {_cap}""")
+  FROM {_channel}_post_cnt GROUP BY term) WHERE {_rule}""")
     weighted(f"{_channel}_post", "article_id", f"{_channel}_voc")
 for _name, _text, _channel in (("qwo", "q_original", "word"), ("qwc", "q_claim", "word"), ("qch", "q_original", "char")):
     lexical(_name, "queries", "claim_id", _text, _channel, "queries")
@@ -376,7 +376,7 @@ rerank_ctes("evidence_p", "retrieved", "least(greatest(phrase_match, 0.0), 1.0)"
 
 cte("raw_sheet", "", """
 SELECT URL, TITLE, CONTENT, BOOL FROM (SELECT concat(' https://', source, '.example/', CAST(doc_id AS VARCHAR)) AS URL,
-  CASE WHEN doc_id % 13 = 0 THEN NULL ELSE concat('  ', substr(split_part(text, chr(10), 1), 1, 200), chr(10)) END AS TITLE,
+  CASE WHEN doc_id % 13 = 0 THEN NULL ELSE concat('  ', split_part(text, chr(10), 1), chr(10)) END AS TITLE,
   text AS CONTENT,
   CASE doc_id % 8 WHEN 0 THEN '0' WHEN 1 THEN '1' WHEN 2 THEN '1.0' WHEN 3 THEN 'x' WHEN 4 THEN NULL WHEN 5 THEN '0' WHEN 6 THEN '1d' ELSE '0f' END AS BOOL,
   unnest([1, 2]) AS copy FROM documents)""")
