@@ -1,8 +1,9 @@
 """Token ids of whole texts by a file of the tokenizers library.
 
 Texts of plain characters go word by word, for tokenizers that lower-case, drop white space and split words
-from signs: every word gets a number, new words are cut and encoded together, and the ids of a group of texts are
-gathered from the words' ids in one step. All other texts and tokenizers go through the library whole.
+from signs: Arrow splits a group of texts and lists its distinct words, every word gets a number, new words are cut
+and encoded together, and the ids of the group are gathered from the words' ids in one step. All other texts and
+tokenizers go through the library whole.
 """
 
 from __future__ import annotations
@@ -10,11 +11,11 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -27,6 +28,8 @@ CACHE_WORDS = 1 << 19
 # ASCII and Latin-1 without controls: NFC leaves it alone and lower case is one letter for one.
 _PLAIN = re.compile(r"[\t\n\x0b\x0c\r\x20-\x7e\xa1-\xff]*")
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The same for lower-case ASCII words.
+_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
 
 
 def _by_word(spec: dict) -> bool:
@@ -46,6 +49,27 @@ def _by_word(spec: dict) -> bool:
     )
 
 
+class _Numbers(dict):
+    """Words by number in order of arrival; ``fresh`` are those without ids yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(word)
+        return number
+
+
+def _lowered(words: pa.Array) -> list[str]:
+    """Words without white space, as lower-case strings; one string for all is much faster than one for each."""
+    if not len(words):
+        return []
+    listed = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+    return pc.binary_join(listed, pa.scalar("\n", words.type))[0].as_py().lower().split("\n")
+
+
 class Encoder:
     """Encodes lists of texts; one per worker and file, see ``encoder``."""
 
@@ -76,7 +100,7 @@ class Encoder:
 
     def _forget(self) -> None:
         """No words: their numbers, and for each number where its ids start and how many they are."""
-        self.numbers: dict[str, int] = defaultdict(count().__next__)
+        self.numbers = _Numbers()
         self.ids = np.zeros(0, self.dtype)
         self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -88,9 +112,8 @@ class Encoder:
         ids, sizes = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
         for at in range(0, len(pieces), CALL_WORDS):
             some = pieces[at : at + CALL_WORDS]
-            found = np.array(
-                self.model.encode_batch_fast([" ".join(some).translate(self.symbols)], add_special_tokens=False)[0].ids, self.dtype
-            )
+            spelled = " ".join([p if p.isascii() else p.translate(self.symbols) for p in some])
+            found = np.array(self.model.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, self.dtype)
             last = np.flatnonzero(self.ends[found]) + 1
             if len(last) == len(some) and last[-1] == len(found):
                 ids.append(found)
@@ -104,13 +127,13 @@ class Encoder:
     def _learn(self) -> None:
         """Ids of all words without ids yet. Words that are several pieces get the ids of the pieces."""
         known, numbers = len(self.size), self.numbers
+        fresh = numbers.fresh
         cut: dict[int, list[int]] = {}
-        for word, n in list(islice(numbers.items(), known, None)):
+        for n, word in enumerate(fresh[:], known):
             if not word.isalpha():
-                parts = self.pieces(word)
+                parts = (_ASCII_PIECES if word.isascii() else self.pieces)(word)
                 if parts != [word]:
                     cut[n] = [numbers[p] for p in parts]
-        fresh = list(islice(numbers, known, None))
         whole = [i for i in range(known, len(numbers)) if i not in cut]
         ids, size = self._encode_pieces([fresh[i - known] for i in whole])
         first = len(self.ids) + np.cumsum(size) - size
@@ -124,6 +147,7 @@ class Encoder:
             self.size[own] = np.bincount(owner, self.size[parts], len(cut)).astype(np.int64)
             self.start[own] = len(self.ids) + np.cumsum(self.size[own]) - self.size[own]
             self.ids = np.r_[self.ids, self._gather(parts)]
+        numbers.fresh = []
 
     def _gather(self, numbers: np.ndarray) -> np.ndarray:
         size = self.size[numbers]
@@ -133,20 +157,21 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian integers of ``dtype``."""
         out: list[bytes] = [b""] * len(texts)
-        split, found = [], [np.zeros(0, np.int32)]
+        split = []
         for i, text in enumerate(texts):
             if self.by_word and "<|" not in text and _PLAIN.fullmatch(text):
-                words = text.lower().split()
                 split.append(i)
-                found.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
             else:
                 out[i] = self._library(text).tobytes()
         if split:
-            if len(self.numbers) > len(self.size):
+            words = pc.ascii_split_whitespace(pa.array([texts[i] for i in split], pa.large_string()))
+            coded = words.flatten().dictionary_encode()
+            own = np.fromiter(map(self.numbers.__getitem__, _lowered(coded.dictionary)), np.int64, len(coded.dictionary))
+            if self.numbers.fresh:
                 self._learn()
-            numbers = np.concatenate(found)
+            numbers = own[coded.indices.to_numpy()]
             total = np.r_[0, np.cumsum(self.size[numbers])]
-            cuts = (total[np.cumsum([len(x) for x in found])] * self.dtype.itemsize).tolist()
+            cuts = (total[words.offsets.to_numpy()] * self.dtype.itemsize).tolist()
             data = self._gather(numbers).tobytes()
             for i, a, z in zip(split, cuts, cuts[1:]):
                 out[i] = data[a:z]
