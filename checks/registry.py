@@ -32,7 +32,7 @@ from claimweave.plans import retrieval, verification, views
 from claimweave.scale import materialize, shared_dir
 from claimweave.schema import missing_columns, require_columns
 from claimweave.sources import index_store, tables
-from claimweave.streaming.requests import stream_verify, verify_requests
+from claimweave.streaming.requests import read_log, stream_verify, verify_requests
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -157,20 +157,74 @@ def _(spark, d):
     )
 
 
-@register("sink_reports", query(
-    "SELECT coalesce(CAST(label AS VARCHAR), 'none') AS label, count(*) AS article_count, round(avg(length(title)), 6) AS avg_title_length, "
-    "round(avg(length(content)), 6) AS avg_content_length FROM articles GROUP BY ALL", "articles"))
+_BY_LABEL = "SELECT coalesce(CAST(label AS VARCHAR), 'none') AS label, {0} FROM articles GROUP BY ALL"
+_WHOLE = "SELECT 'all' AS label, {0} FROM articles"
+# report: columns with their SQL, and whether it has a row per label
+REPORTS = {
+    "label_distribution": ({"count": "count(*)"}, True),
+    "label_statistics": ({
+        "article_count": "count(*)", "avg_title_length": "avg(length(title))", "avg_content_length": "avg(length(content))"}, True),
+    "length_statistics": ({
+        "average_title_length": "avg(length(title))", "average_content_length": "avg(length(content))",
+        "avg_content_length_label_0": "avg(length(content)) FILTER (label = 0)",
+        "avg_content_length_label_1": "avg(length(content)) FILTER (label = 1)"}, False),
+    "data_quality": ({f"missing_{c}": f"count(*) FILTER ({c} IS NULL)" for c in ARTICLES.split(", ")}, False),
+}
+
+
+@register("sink_reports", query(" UNION ALL ".join(
+    f"SELECT '{report}' AS report, label, '{column}' AS metric, round(value, 6) AS value FROM ("
+    + (_BY_LABEL if labelled else _WHOLE).format(f"CAST({expression} AS DOUBLE) AS value") + ")"
+    for report, (columns, labelled) in REPORTS.items() for column, expression in columns.items()), "articles"))
 def _(spark, d):
     from claimweave.plans.profile import profile
 
     path = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
     profile(views.articles(spark, d), path)
-    schema = "label int, article_count bigint, avg_title_length double, avg_content_length double"
-    back = spark.read.option("header", "true").schema(schema).csv(f"{path}/label_statistics")
-    return label_text(back).select(
-        "label", "article_count", F.round("avg_title_length", 6).alias("avg_title_length"),
-        F.round("avg_content_length", 6).alias("avg_content_length"),
-    )
+    back = []
+    for report, (columns, labelled) in REPORTS.items():
+        schema = ", ".join((["label int"] if labelled else []) + [f"{c} double" for c in columns])
+        df = spark.read.option("header", "true").schema(schema).csv(f"{path}/{report}")
+        df = label_text(df) if labelled else df.withColumn("label", F.lit("all"))
+        back.append(df.unpivot(["label"], list(columns), "metric", "value").withColumn("report", F.lit(report)))
+    every = back[0]
+    for df in back[1:]:
+        every = every.unionByName(df)
+    return every.select("report", "label", "metric", F.round("value", 6).alias("value"))
+
+
+def _evaluation_files(spark, d):
+    def build():
+        path = f"{shared_dir(spark)}/evaluation-{uuid.uuid4().hex}"
+        p = views.predictions(spark, d)
+        record = evaluation.metrics_record(p, views.labelled_articles(spark, d), "articles", 5)
+        tables.write_evaluation(p, evaluation.confusion_matrix(p), record, path)
+        return path
+
+    return _once(spark, d, "evaluation_files", build)
+
+
+@register("sink_evaluation_rows", query(
+    "SELECT article_id, true_label, predicted_verdict, confidence, processing_time_seconds FROM predictions", "predictions"))
+def _(spark, d):
+    schema = views.predictions(spark, d).schema
+    return spark.read.option("header", "true").option("escape", '"').schema(schema).csv(f"{_evaluation_files(spark, d)}/evaluation_results")
+
+
+@register("sink_evaluation_record", query(
+    "SELECT total AS evaluation_sample_size, valid AS valid_predictions, uncertain AS uncertain_count, errors AS error_count, "
+    "(c00 + c11) AS correct_predictions, round((c00 + c11)::DOUBLE / total, 4) AS accuracy_all_cases, round(conf, 4) AS average_confidence, "
+    "c00 AS fake_fake, c01 AS fake_real, c10 AS real_fake, c11 AS real_real FROM counts", "counts"))
+def _(spark, d):
+    path = _evaluation_files(spark, d)
+    counts = ("evaluation_sample_size", "valid_predictions", "uncertain_count", "error_count", "correct_predictions")
+    record = spark.read.schema(", ".join([f"{c} bigint" for c in counts] + ["accuracy_all_cases double, average_confidence double"]))
+    matrix = spark.read.option("header", "true").schema("actual string, fake bigint, real bigint").csv(f"{path}/confusion_matrix")
+    cells = matrix.agg(*[
+        F.max(F.when(F.col("actual") == f"Actual_{row.upper()}", F.col(column))).alias(f"{row}_{column}")
+        for row in ("fake", "real") for column in ("fake", "real")])
+    one = F.lit(1).alias("_k")  # two tables of one row
+    return record.json(f"{path}/metrics").select(one, "*").join(cells.select(one, "*"), "_k").drop("_k")
 
 
 # --- cleaning ---------------------------------------------------------------------------
@@ -654,6 +708,20 @@ def _(spark, d):
     return _evidence_select(rerank.rerank(_with_text(spark, d), views.claims(spark, d)))
 
 
+@register("rerank_duplicates", query(
+    "SELECT claim_id, evidence_id, first_rank AS retrieval_rank, evidence_score, claim_match FROM (SELECT *, "
+    "min(retrieval_rank) OVER (PARTITION BY claim_id, evidence_id) AS first_rank, "
+    "row_number() OVER (PARTITION BY claim_id, evidence_id ORDER BY evidence_score DESC, retrieval_rank) AS best FROM evidence_d_6) "
+    "WHERE best = 1", "evidence_d_6"))
+def _(spark, d):
+    once = _with_text(spark, d)
+    again = once.withColumns({
+        "retrieval_rank": F.col("retrieval_rank") + 12,
+        "claim_lexical_score": F.when(F.col("article_id") % 2 == 0, F.lit(1.0)).otherwise(F.lit(0.0))})
+    scored = rerank.score_evidence(once.unionByName(again), views.claims(spark, d))
+    return rerank.dedup_evidence(scored).select("claim_id", "evidence_id", big("retrieval_rank"), "evidence_score", "claim_match")
+
+
 @register("rerank_top3_connected_phrase", query(f"SELECT {_EV} FROM evidence_p", "evidence_p"))
 def _(spark, d):
     return _evidence_select(rerank.rerank(_with_text(spark, d), views.claims(spark, d), connect_phrase=True))
@@ -919,6 +987,16 @@ def _(spark, d):
     return record.select(*names, nested)
 
 
+@register("evaluate_without_valid", query(
+    "SELECT count(*) AS evaluation_sample_size, 0::BIGINT AS valid_predictions, 0.0::DOUBLE AS accuracy_all_cases, 0.0::DOUBLE AS fake_f1, "
+    "0.0::DOUBLE AS real_f1, 0.0::DOUBLE AS macro_f1, 0.0::DOUBLE AS weighted_f1, 1.0::DOUBLE AS error_rate, 0::BIGINT AS report_rows FROM predictions", "predictions"))
+def _(spark, d):
+    failed = views.predictions(spark, d).withColumn("predicted_verdict", F.lit("ERROR"))
+    record = evaluation.metrics_record(failed, views.labelled_articles(spark, d), "articles", 5)
+    return record.select("evaluation_sample_size", "valid_predictions", "accuracy_all_cases", "fake_f1", "real_f1", "macro_f1", "weighted_f1",
+                         "error_rate", F.when(F.col("classification_report").isNull(), 0).otherwise(1).cast("bigint").alias("report_rows"))
+
+
 # --- streaming --------------------------------------------------------------------------
 
 
@@ -927,14 +1005,41 @@ def _request_vectors(spark, d):
     return lambda claims: own.join(claims.select("claim_id"), "claim_id", "left_semi")
 
 
-@register("stream_verify")
+def _streamed(spark, d):
+    def build():
+        base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+        views.requests(spark, d).write.json(f"{base}/in")
+        stream_verify(
+            spark, f"{base}/in", f"{base}/out", f"{base}/rejects", f"{base}/checkpoint", _index(spark, d), _request_vectors(spark, d),
+            log=f"{base}/log",
+        ).awaitTermination()
+        return base
+
+    return _once(spark, d, "streamed", build)
+
+
+# Accepted requests in place of the claims, as a batch.
+_REQUEST_TABLES = {
+    "claims": ("request_norm", """
+SELECT request_id AS claim_id, CASE WHEN title <> '' THEN title ELSE content END AS claim, title AS source_title, content AS source_content,
+  CAST([] AS VARCHAR[]) AS entities, CAST([] AS VARCHAR[]) AS numbers_dates, NULL::BIGINT AS exclude_article_id
+FROM request_norm WHERE title <> '' OR content <> ''"""),
+    "claim_vectors": ("claims vectors", "SELECT c.claim_id, v.v FROM claims c JOIN vectors v ON v.article_id = c.claim_id"),
+}
+
+
+@register("stream_batches", query(
+    "SELECT (SELECT count(*) FROM request_norm) AS requests, (SELECT count(*) FROM request_norm WHERE title = '' AND content = '') AS rejected, "
+    "(SELECT count(*) FROM evidence) AS evidence", "request_norm", "evidence", **_REQUEST_TABLES))
+def _(spark, d):
+    log = read_log(spark, f"{_streamed(spark, d)}/log")
+    return log.agg(*[F.sum(c).alias(c) for c in ("requests", "rejected", "evidence")])
+
+
+@register("stream_verify", query(
+    "SELECT claim_id, rank, evidence_id, evidence_score, strong_evidence FROM evidence", "evidence", **_REQUEST_TABLES))
 def _(spark, d):
-    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    views.requests(spark, d).write.json(f"{base}/in")
-    stream_verify(
-        spark, f"{base}/in", f"{base}/out", f"{base}/rejects", f"{base}/checkpoint", _index(spark, d), _request_vectors(spark, d),
-    ).awaitTermination()
-    found = spark.read.parquet(f"{base}/out")
+    found = spark.read.parquet(f"{_streamed(spark, d)}/out")
     return found.select("claim_id", big("rank"), "evidence_id", "evidence_score", "strong_evidence")
 
 

@@ -57,13 +57,19 @@ def nfkc(c: Column) -> Column:
     return F.coalesce(_nfkc(F.when(text.rlike(MAY_CHANGE_UNDER_NFKC), text)), text)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _nfkc_all(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: None if v is None else [unicodedata.normalize("NFKC", x) for x in v])
+
+
 def nfkc_array(c: Column) -> Column:
-    """NFKC of every element; nulls become blank, a null array becomes empty."""
-    sep = "\u0001"
-    clean = F.transform(c, lambda v: F.translate(text_or_blank(v), sep, " "))
-    return F.when(F.size(c) > 0, F.split(nfkc(F.array_join(clean, sep)), sep)).otherwise(
-        F.array().cast("array<string>")
-    )
+    """NFKC of every element; nulls become blank, a null array becomes empty.
+
+    Lists without an element that may change never leave the JVM.
+    """
+    clean = F.transform(c, text_or_blank)
+    changing = F.exists(clean, lambda v: v.rlike(MAY_CHANGE_UNDER_NFKC))
+    return F.coalesce(_nfkc_all(F.when(changing, clean)), clean, F.array().cast("array<string>"))
 
 
 def fold(c: Column) -> Column:

@@ -18,7 +18,10 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def assert_row_count(df: DataFrame, expected: int) -> int:
-    actual = row_count(df).first()["row_count"]
+    return check_rows(row_count(df).first()["row_count"], expected)
+
+
+def check_rows(actual: int, expected: int) -> int:
     if actual != expected:
         raise RowCountMismatch(f"expected {expected} rows, found {actual}")
     return actual
@@ -67,6 +70,57 @@ def label_statistics(df: DataFrame) -> DataFrame:
     )
 
 
+def label_record(df: DataFrame) -> DataFrame:
+    """One mergeable row per label, null a group of its own: rows, nulls per column, texts and their characters.
+
+    The four reports below derive from this record, so a corpus is read once for all of them. It has as many
+    rows as there are labels.
+    """
+    lengths = with_lengths(df)
+    return lengths.groupBy("label").agg(
+        F.count("*").alias("rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in ARTICLE_COLUMNS if c != "label"],
+        F.count_if(F.col("label").isNull()).alias("missing_label"),
+        *[
+            measure_.alias(f"{name}_{kind}")
+            for name in ("title", "content")
+            for kind, measure_ in (("texts", F.count(f"{name}_length")), ("chars", F.sum(f"{name}_length")))
+        ],
+    )
+
+
+def _mean(name: str, condition: Column | None = None) -> Column:
+    """Mean length over the rows of a label record that meet a condition."""
+    chars, texts = F.col(f"{name}_chars"), F.col(f"{name}_texts")
+    if condition is not None:
+        chars, texts = F.when(condition, chars), F.when(condition, texts)
+    return F.try_divide(F.sum(chars), F.sum(texts))
+
+
+def reports_of(record: DataFrame) -> dict[str, DataFrame]:
+    """Label distribution, label statistics, length statistics and null counts from a label record."""
+    zero = F.lit(0).cast("bigint")
+    return {
+        "label_distribution": record.select("label", F.col("rows").alias("count")).orderBy("label"),
+        "label_statistics": record.groupBy("label")
+        .agg(
+            F.sum("rows").alias("article_count"),
+            _mean("title").alias("avg_title_length"),
+            _mean("content").alias("avg_content_length"),
+        )
+        .orderBy("label"),
+        "length_statistics": record.agg(
+            _mean("title").alias("average_title_length"),
+            _mean("content").alias("average_content_length"),
+            _mean("content", F.col("label") == 0).alias("avg_content_length_label_0"),
+            _mean("content", F.col("label") == 1).alias("avg_content_length_label_1"),
+        ),
+        "data_quality": record.agg(
+            *[F.coalesce(F.sum(f"missing_{c}"), zero).alias(f"missing_{c}") for c in ARTICLE_COLUMNS]
+        ),
+    }
+
+
 def longest_articles(df: DataFrame, k: int = 10) -> DataFrame:
     """Top-k by content length. The content itself is dropped before the sort."""
     return (

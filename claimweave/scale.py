@@ -9,10 +9,16 @@ folder, which outlive lost executors.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
+import urllib.parse
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,10 +44,45 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+def remove_folder(path: str) -> bool:
+    """Remove a folder of the shared store if it is there; False for stores that only Spark can reach."""
+    parts = urllib.parse.urlsplit(path)
+    try:
+        if parts.scheme in ("", "file"):
+            fs, root = pyarrow.fs.LocalFileSystem(), parts.path
+        else:
+            fs, root = pyarrow.fs.FileSystem.from_uri(path)
+    except pa.ArrowInvalid:
+        return False
+    if fs.get_file_info(root).type != pyarrow.fs.FileType.NotFound:
+        fs.delete_dir(root)
+    return True
+
+
+# Folder of intermediate tables within a ``scratch`` block.
+_scratch: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
+
+
+@contextlib.contextmanager
+def scratch(folder: str) -> Iterator[None]:
+    """Intermediate tables made inside go to ``folder``, which is removed at the end.
+
+    What an attempt that was lost has left there is removed first, so the name should be the same for every
+    attempt. Results must be written before the block ends.
+    """
+    remove_folder(folder)
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        remove_folder(folder)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_scratch.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

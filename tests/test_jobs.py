@@ -74,6 +74,25 @@ def test_profile_checks(spark, data):
     assert rows(profiling.label_distribution(inline), "label", "count") == [("FAKE", 2), ("REAL", 1)]
 
 
+def test_reports_derive_from_one_record(spark, data):
+    from claimweave.plans.profile import reports
+
+    articles = views.articles(spark, data)
+    whole = reports(articles, articles.count())
+    single = {
+        "label_distribution": profiling.label_distribution, "label_statistics": profiling.label_statistics,
+        "length_statistics": profiling.length_statistics, "data_quality": profiling.data_quality,
+    }
+    for name, alone in single.items():
+        assert whole[name].columns == alone(articles).columns
+        assert [tuple(r) for r in whole[name].collect()] == [tuple(r) for r in alone(articles).collect()], name
+    with pytest.raises(profiling.RowCountMismatch):
+        reports(articles, 1)
+    empty = reports(articles.limit(0), 0)
+    assert tuple(empty["length_statistics"].first()) == (None,) * 4
+    assert tuple(empty["data_quality"].first()) == (0,) * 5
+
+
 # --- index and scores against brute force -------------------------------------------------
 
 

@@ -36,6 +36,12 @@ def test_normalize(spark):
     assert one(spark, " A \n b ", text.collapse_ws) == "A b"
 
 
+def test_nfkc_array_keeps_separators_of_the_data(spark):
+    df = spark.createDataFrame([(["a\u0001b", "①", None],), (["x\u0001"],)], "a array<string>")
+    found = [r[0] for r in df.select(text.nfkc_array(F.col("a"))).collect()]
+    assert sorted(found) == [["a\u0001b", "1", ""], ["x\u0001"]]
+
+
 def test_nfkc_array(spark):
     df = spark.createDataFrame([(1, ["ﬁ", None, "a"]), (2, []), (3, None)], "i int, a array<string>")
     rows = {r["i"]: r["r"] for r in df.select("i", text.nfkc_array(F.col("a")).alias("r")).collect()}
