@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from claimweave.functions.numeric import to_number
 from claimweave.functions.text import strip_ws
 from claimweave.operators.profiling import data_quality, label_distribution
-from claimweave.scale import with_row_index
+from claimweave.scale import number_rows
 from claimweave.schema import ARTICLE_COLUMNS
 
 RAW_TO_CANONICAL = {"URL": "url", "TITLE": "title", "CONTENT": "content", "BOOL": "label"}
@@ -47,17 +47,16 @@ def coerce_label(df: DataFrame) -> DataFrame:
     return df.withColumn("label", to_number(F.col("label")).try_cast("int")).where(F.col("label").isNotNull())
 
 
-def assign_ids(df: DataFrame, *order) -> DataFrame:
-    """``article_id`` 1..n in the order of the given columns."""
-    columns = [F.col(c) if isinstance(c, str) else c for c in order]
-    return with_row_index(df, columns, "article_id")
+def assign_ids(df: DataFrame, *order: str) -> DataFrame:
+    """``article_id`` 1..n in ascending order of the given columns."""
+    return number_rows(df, list(order), "article_id")
 
 
 def canonical_columns(df: DataFrame) -> DataFrame:
     return df.select(*ARTICLE_COLUMNS)
 
 
-def clean_articles(raw: DataFrame, *order) -> DataFrame:
+def clean_articles(raw: DataFrame, *order: str) -> DataFrame:
     """Whole cleaning job. Spark tables have no input order, so ``order`` names one."""
     cleaned = clean_text_columns(drop_exact_duplicates(raw), ["TITLE", "CONTENT", "URL"])
     labelled = coerce_label(rename_raw(cleaned))

@@ -162,3 +162,74 @@ def with_row_index(df: DataFrame, order: list[Column], name: str, start: int = 1
         .withColumn(name, (F.col("_offset") + F.row_number().over(within) + (start - 1)).cast("bigint"))
         .drop("_range", "_offset")
     )
+
+
+def _range_keys(df: DataFrame, columns: list[str], width: int) -> list[Column]:
+    """Keys of bounded width that never contradict the order of ``columns``.
+
+    A text counts up to ``width`` characters, then whether it goes on; behind a text that goes on, the
+    keys of later columns are null. Rows with equal keys are equal in all columns, or their first long
+    text has the same beginning.
+    """
+    keys, whole = [], F.lit(True)
+    for name in columns:
+        if isinstance(df.schema[name].dataType, T.StringType):
+            longer = F.coalesce(F.length(name) > width, F.lit(False))
+            keys += [F.when(whole, F.substring(name, 1, width)), F.when(whole, longer)]
+            whole = whole & ~longer
+        else:
+            keys.append(F.when(whole, F.col(name)))
+    return keys
+
+
+def number_rows(df: DataFrame, columns: list[str], name: str, start: int = 1, width: int = 64) -> DataFrame:
+    """Consecutive numbers in ascending order of ``columns``, nulls first, texts of any length among them.
+
+    The range exchange is keyed by the first ``width`` characters and a digest, so the sample of keys that
+    the driver takes stays small, and rows that share a long beginning spread over many ranges. Sorted ranges
+    are written once; a row's number is its place there plus the rows of earlier ranges (one small row per
+    task). Only groups of equal keys that lie in several ranges, at most one per range border, are
+    numbered again, among themselves, by eight times as many characters. Rows equal in all columns
+    share a digest and are never split; their order is arbitrary.
+    """
+    low_bits = (1 << 33) - 1  # monotonically_increasing_id: partition above, place within it below
+    rest, done = df.withColumn("_base", F.lit(start).cast("bigint")), None
+    while True:
+        keys = _range_keys(df, columns, width)
+        ranged = materialize(
+            rest.repartitionByRange("_base", *keys, F.xxhash64(*columns))
+            .sortWithinPartitions("_base", *columns)
+            .withColumn("_at", F.monotonically_increasing_id()),
+            "row_numbers",
+        ).withColumns({"_group": F.struct("_base", *keys), "_range": F.shiftright("_at", 33)})
+        before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        ranges = materialize(
+            ranged.groupBy("_range")
+            .agg(F.count("*").alias("_n"), F.min_by("_group", "_at").alias("_first"), F.max_by("_group", "_at").alias("_last"))
+            .select("_range", "_first", "_last", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")),
+            "ranges",
+        )
+        placed = ranged.join(F.broadcast(ranges.select("_range", "_offset")), "_range").withColumn(
+            "_place", F.col("_offset") + F.col("_at").bitwiseAND(F.lit(low_bits))
+        )
+        if done is None:
+            numbered = placed.withColumn(name, F.col("_base") + F.col("_place"))
+        else:
+            # The rows of one base are consecutive; there are no more bases than ranges of the round before.
+            first = placed.groupBy("_base").agg(F.min("_place").alias("_start"))
+            numbered = placed.join(F.broadcast(first), "_base").withColumn(
+                name, F.col("_base") + F.col("_place") - F.col("_start")
+            )
+        split = (
+            ranges.select("_range", F.explode(F.array("_first", "_last")).alias("_group"))
+            .groupBy("_group").agg(F.count_distinct("_range").alias("_n")).where("_n > 1").select("_group")
+        )
+        if split.isEmpty():
+            last = numbered.select(*df.columns, name)
+            return last if done is None else done.unionByName(last)
+        settled = numbered.join(F.broadcast(split), "_group", "left_anti").select(*df.columns, name)
+        done = settled if done is None else done.unionByName(settled)
+        again = numbered.join(F.broadcast(split), "_group")
+        bases = again.groupBy("_group").agg(F.min(name).alias("_next"))
+        rest = again.join(F.broadcast(bases), "_group").select(*df.columns, F.col("_next").alias("_base"))
+        width *= 8

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from claimweave.operators import candidates, cleaning, evaluation, inverted, lexical, profiling, rerank, vectors, verdict
 from claimweave.plans import retrieval, verification, views
-from claimweave.scale import with_row_index
+from claimweave.scale import _range_keys, number_rows, with_row_index
 from claimweave.schema import SchemaMismatch, require_columns
 from claimweave.sources import tables
 
@@ -59,6 +60,42 @@ def test_row_index_over_many_ranges(spark):
     assert sorted((r["n"], r["k"]) for r in out) == [(i + 1, 4999 - i) for i in range(5000)]
 
 
+@pytest.fixture
+def many_ranges(spark):
+    """Small inputs keep all their shuffle partitions."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, old)
+
+
+def test_numbers_of_texts_with_common_beginnings(spark, many_ranges):
+    rng = random.Random(4)
+    long = "same beginning " * 50
+    urls = [None, "", "a", "b" * 64, "b" * 65, "b" * 70 + "x", long, long + "\u00e9", long + "z"]
+    table = [
+        (rng.choice(urls), rng.choice([None, "t", long]) or None, long + str(rng.randrange(300)), rng.randrange(2))
+        for _ in range(1500)
+    ]
+    df = spark.createDataFrame(table, "url string, title string, content string, label int").repartition(5)
+    plain = sorted(table, key=lambda r: [(x is not None, x.encode() if isinstance(x, str) else x or 0) for x in r])
+    found = number_rows(df, df.columns, "n", start=0, width=4).collect()
+    assert [tuple(r)[:4] for r in sorted(found, key=lambda r: r["n"])] == plain
+    assert sorted(r["n"] for r in found) == list(range(1500))
+    assert number_rows(df.limit(0), df.columns, "n").collect() == []
+
+
+def test_range_keys_hold_no_whole_text(spark, many_ranges):
+    """One long beginning in all rows: the first exchange still spreads them."""
+    long = "x" * 5000
+    df = spark.range(2000).select(F.concat(F.lit(long), F.col("id").cast("string")).alias("text"))
+    ranges = df.repartitionByRange(*_range_keys(df, ["text"], 64), F.xxhash64("text")).groupBy(F.spark_partition_id()).count()
+    assert ranges.count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = number_rows(df, ["text"], "n").select("n", F.substring("text", 5001, 9).alias("t")).orderBy("n").collect()
+    assert [r["t"] for r in out] == sorted(str(i) for i in range(2000))
+
+
 def test_profile_checks(spark, data):
     articles = views.articles(spark, data)
     n = articles.count()
