@@ -1,10 +1,14 @@
 """Quality classifier by positive-unlabelled learning with a non-negative risk.
 
 Trusted positives are labelled rows of quality 1; the unlabelled set is drawn from all documents,
-their labels unused. With the class prior p, estimated as the share of 1 among labelled training
-rows, a small network minimises  p R+(positives) + max(0, R-(unlabelled) - p R-(positives)); when the
-second term turns negative, the step goes the other way, so that the negative risk cannot be driven
-below zero. Inputs are features of the text alone.
+their labels unused. With the class prior p, a small network minimises
+p R+(positives) + max(0, R-(unlabelled) - p R-(positives)); when the second term turns negative, the
+step goes the other way, so that the negative risk cannot be driven below zero. Inputs are features of
+the text alone.
+
+The prior is estimated from positives and unlabelled texts only: a network that tells one sample from the
+other orders held-back rows, and the prior is the least ratio, over all cuts, of the unlabelled share above
+the cut to the positive share. Above a cut that no negative reaches, this ratio is the prior.
 """
 
 from __future__ import annotations
@@ -110,8 +114,34 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(x), -40, 40)))
 
 
-def train(positives: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = 24, steps: int = 1500) -> Model:
-    """Fits the network by the non-negative risk with logistic losses and Adam on seeded batches."""
+def risk(weights: list[np.ndarray], p: np.ndarray, u: np.ndarray, prior: float | None) -> tuple[float, list[np.ndarray]]:
+    """What a step descends, by logistic losses, and its gradient by the weights.
+
+    With a prior, the non-negative risk of positives ``p`` and unlabelled rows ``u``; while its negative part
+    is below zero, minus that part. Without one, the loss of telling ``p`` from ``u``.
+    """
+    x = np.concatenate([p, u])
+    h = np.tanh(x @ weights[0] + weights[1])
+    s = 1 / (1 + np.exp(-np.clip(h @ weights[2] + weights[3], -40, 40)))
+    sp, su = s[: len(p)], s[len(p) :]
+    positive, as_negative = -np.log(sp + 1e-12).mean(), -np.log(1 - sp + 1e-12).mean()
+    unlabelled = -np.log(1 - su + 1e-12).mean()
+    # Gradients of the losses by the logit: s - 1 for label 1, s for label 0.
+    if prior is None:
+        value, g = positive + unlabelled, np.concatenate([(sp - 1) / len(p), su / len(u)])
+    elif (negative := unlabelled - prior * as_negative) >= 0:
+        value = prior * positive + negative
+        g = np.concatenate([(prior * (sp - 1) - prior * sp) / len(p), su / len(u)])
+    else:
+        value, g = -negative, np.concatenate([prior * sp / len(p), -su / len(u)])
+    back = np.outer(g, weights[2]) * (1 - h * h)
+    return value, [x.T @ back, back.sum(0), h.T @ g, np.array([g.sum()])]
+
+
+def train(
+    positives: np.ndarray, unlabelled: np.ndarray, prior: float | None, hidden: int = 24, steps: int = 1500
+) -> Model:
+    """Fits the network to :func:`risk` with Adam on seeded batches."""
     every = np.concatenate([positives, unlabelled])
     mean, scale = every.mean(0), every.std(0) + 1e-6
     p, u = (np.clip((x - mean) / scale, -6, 6) for x in (positives, unlabelled))
@@ -119,26 +149,43 @@ def train(positives: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: i
     w = [rng.normal(0, 0.3, (p.shape[1], hidden)), np.zeros(hidden), rng.normal(0, 0.3, hidden), np.zeros(1)]
     first, second = [np.zeros_like(x) for x in w], [np.zeros_like(x) for x in w]
     for step in range(1, steps + 1):
-        bp, bu = p[rng.integers(0, len(p), 256)], u[rng.integers(0, len(u), 768)]
-        x = np.concatenate([bp, bu])
-        h = np.tanh(x @ w[0] + w[1])
-        s = 1 / (1 + np.exp(-np.clip(h @ w[2] + w[3], -40, 40)))
-        sp, su = s[: len(bp)], s[len(bp) :]
-        negative = -np.log(1 - su + 1e-12).mean() + prior * np.log(1 - sp + 1e-12).mean()
-        # Gradients of the losses by the logit: s - 1 for label 1, s for label 0.
-        if negative >= 0:
-            g = np.concatenate([prior * (sp - 1) - prior * sp, su * len(bp) / len(bu)]) / len(bp)
-        else:
-            g = np.concatenate([prior * sp, -su * len(bp) / len(bu)]) / len(bp)
-        back = np.outer(g, w[2]) * (1 - h * h)
-        grads = [x.T @ back, back.sum(0), h.T @ g, np.array([g.sum()])]
+        grads = risk(w, p[rng.integers(0, len(p), 256)], u[rng.integers(0, len(u), 768)], prior)[1]
         rate = 0.01 if step < steps // 2 else 0.002
         for i, d in enumerate(grads):
             d = d + 1e-4 * w[i]
             first[i] = 0.9 * first[i] + 0.1 * d
             second[i] = 0.999 * second[i] + 0.001 * d * d
             w[i] = w[i] - rate * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
-    return Model(mean, scale, tuple(w), prior)
+    return Model(mean, scale, tuple(w), 0.5 if prior is None else prior)
+
+
+def least_ratio(positives: np.ndarray, unlabelled: np.ndarray, delta: float = 0.1) -> float:
+    """Least ratio, over all cuts, of the share of unlabelled scores above the cut to that of positives.
+
+    Both shares carry their deviation at confidence 1 - ``delta``, so that cuts with few rows do not win by
+    chance; the ratio returned is that of the shares themselves at the cut chosen.
+    """
+    cuts = np.unique(np.concatenate([positives, unlabelled]))
+    p = 1 - np.searchsorted(np.sort(positives), cuts) / len(positives)
+    u = 1 - np.searchsorted(np.sort(unlabelled), cuts) / len(unlabelled)
+    slack = sum(np.sqrt(np.log(4 / delta) / (2 * n)) for n in (len(positives), len(unlabelled)))
+    best = np.argmin(np.where(p > 0, (u + slack) / np.maximum(p, 1e-12), np.inf))
+    return float(u[best] / p[best])
+
+
+def estimate_prior(positives: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Share of positives among the unlabelled rows, the mean over folds read off by a network of the others.
+
+    Training is short, as a network that knows its samples by heart orders other rows worse.
+    """
+    ratios, folds = [], min(FOLDS, len(positives), len(unlabelled))
+    for fold in range(folds if folds > 1 else 0):
+        (p, own_p), (u, own_u) = (
+            (x[np.arange(len(x)) % folds != fold], x[fold::folds]) for x in (positives, unlabelled)
+        )
+        model = train(p, u, None, steps=300)
+        ratios.append(least_ratio(model.logits(own_p), model.logits(own_u)))
+    return float(np.clip(np.mean(ratios), 0.01, 0.99)) if ratios else 0.5
 
 
 def held_out(doc_id: Column) -> Column:
@@ -149,27 +196,26 @@ def held_out(doc_id: Column) -> Column:
 def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
     """Trains on samples of documents of smallest hash; None without a trusted positive.
 
-    A document is a trusted positive if all its labels are 1.
+    A document is a trusted positive if all its labels are 1; other labels are not read. Samples are of
+    distinct ids, and of the rows of one id, one counts.
     """
-    spark = documents.sparkSession
-    draw = F.xxhash64(F.lit(3), "doc_id")
     known = (
         labels.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.min("quality").alias("quality"))
     )
-    prior = known.agg(F.avg("quality")).first()[0]
-    if not prior:
-        return None
-    chosen = known.where("quality = 1").select("doc_id").orderBy(draw, "doc_id").limit(POSITIVES)
-    drawn = documents.select("doc_id").orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(UNLABELLED)
+
+    def drawn(ids: DataFrame, seed: int, rows: int) -> DataFrame:
+        return ids.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(rows)
 
     def matrix(ids: DataFrame) -> np.ndarray:
-        rows = documents.join(F.broadcast(ids.distinct()), "doc_id", "left_semi")
-        found = featured(rows, "doc_id").orderBy("key").toArrow()["features"].combine_chunks()
+        rows = documents.join(F.broadcast(ids), "doc_id", "left_semi")
+        one = featured(rows, "doc_id").groupBy("key").agg(F.min("features").alias("features"))
+        found = one.orderBy("key").toArrow()["features"].combine_chunks()
         return found.flatten().to_numpy().reshape(-1, FEATURES)
 
-    p, u = matrix(chosen), matrix(drawn)
-    return train(p, u, min(float(prior), 0.99)) if len(p) and len(u) else None
+    p = matrix(drawn(known.where("quality = 1").select("doc_id"), 3, POSITIVES))
+    u = matrix(drawn(documents.select("doc_id").distinct(), 5, UNLABELLED)) if len(p) else p
+    return train(p, u, estimate_prior(p, u)) if len(u) else None
 
 
 def score(documents: DataFrame, model: Model | None) -> DataFrame:

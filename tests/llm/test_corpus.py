@@ -1,5 +1,6 @@
 """Sharding, mixing, token files, packing, search, classifiers and the pipeline."""
 
+import math
 import random
 import re
 import zlib
@@ -388,6 +389,55 @@ def test_negative_risk_separates_junk():
     assert (fresh >= 0.3).mean() > 0.97 and (bad < 0.3).mean() > 0.9
 
 
+@pytest.mark.parametrize("prior, shift", [(0.4, 0.0), (0.9, 3.0), (None, 0.0)])
+def test_risk_and_its_gradient(prior, shift):
+    """Both branches against the sums written out and against differences."""
+    rng = np.random.default_rng(2)
+    w = [rng.normal(0, 1, s) for s in ((3, 5), 5, 5, 1)]
+    w[3] -= 2 * shift
+    p, u = rng.normal(shift, 1, (7, 3)), rng.normal(0, 1, (11, 3))
+
+    def plain():
+        score = lambda x: 1 / (1 + math.exp(-(sum(
+            math.tanh(sum(x[i] * w[0][i][j] for i in range(3)) + w[1][j]) * w[2][j] for j in range(5)) + w[3][0])))
+        good = sum(-math.log(score(x)) for x in p) / len(p)
+        junk = sum(-math.log(1 - score(x)) for x in u) / len(u)
+        if prior is None:
+            return good + junk
+        rest = junk - prior * sum(-math.log(1 - score(x)) for x in p) / len(p)
+        return prior * good + rest if rest >= 0 else -rest
+
+    value, grads = quality.risk(w, p, u, prior)
+    assert value == pytest.approx(plain())
+    for array, grad in zip(w, grads):
+        for at in np.ndindex(array.shape):
+            array[at] += 1e-5
+            above = plain()
+            array[at] -= 2e-5
+            below = plain()
+            array[at] += 1e-5
+            assert grad[at] == pytest.approx((above - below) / 2e-5, abs=1e-6)
+
+
+@pytest.mark.parametrize("prior", [0.2, 0.5, 0.8, 1.0])
+def test_prior_from_positives_and_unlabelled(prior):
+    rng = np.random.default_rng(9)
+    n = int(4000 * prior)
+    u = np.concatenate([rng.normal(0, 1, (n, 4)), rng.normal(3, 1, (4000 - n, 4))])
+    found = quality.estimate_prior(rng.normal(0, 1, (2000, 4)), u[rng.permutation(len(u))])
+    assert abs(found - prior) < 0.06
+
+
+def test_one_row_of_a_repeated_id_trains(spark, monkeypatch):
+    """Copies of one id neither fill the sample nor reach the driver."""
+    words = [(i, " ".join(f"w{i * j % 97}" for j in range(30)), "a") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1) for i in range(60)], "doc_id bigint, quality int")
+    monkeypatch.setattr(quality, "UNLABELLED", 40)
+    once = quality.fit(frame(spark, words), labels)
+    again = quality.fit(frame(spark, words + words[:1] * 500 + words[7:8] * 500), labels)
+    assert all((a == b).all() for a, b in zip(once.weights, again.weights))
+
+
 def test_quality_on_held_out_labels(spark, data):
     folder = data.replace("sf0.001", "sf0.1")
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
