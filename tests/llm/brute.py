@@ -41,7 +41,7 @@ def components(rows):
 
 def kept_bytes(rows, window=50):
     """[(doc_id, text)] -> [(doc_id, n_bytes, n_removed, n_spans, kept_sha256)], in order."""
-    last = 2**63 - 1
+    last = 2**63  # null
     data = [(last if d is None else d, (t or "").encode()) for d, t in rows]
     first = {}
     for d, b in data:

@@ -107,6 +107,19 @@ def test_repeats(spark):
     assert brute.same(found, brute.kept_bytes(rows))
 
 
+def test_repeats_of_the_largest_ids_and_without_ids(spark):
+    """Null is above every id, and rows of one id or without one share nothing with each other."""
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(200)) for _ in range(30)]
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(80))
+    top = 2**63 - 1
+    rows = [(None, t + passage) for t in texts] + [(top, texts[0] + passage), (top, "x" + passage), (top - 1, texts[1])]
+    rows += [(-(2**63), texts[2][:120]), (None, None), (None, texts[3]), (None, texts[3])]
+    found = repeats.remove_repeats(frame(spark, rows)).drop("kept").collect()
+    assert brute.same(found, brute.kept_bytes(rows))
+    assert sum(r["doc_id"] == top and r["n_removed"] == 0 for r in found) == 2
+
+
 def test_repeats_of_one_common_passage(spark, monkeypatch):
     """Anchors above the limit go window by window, with the same result."""
     monkeypatch.setattr(repeats, "FREQUENT", 2)
