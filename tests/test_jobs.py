@@ -1,6 +1,7 @@
 import math
 import random
 from collections import Counter
+from glob import glob
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from claimweave.operators import candidates, cleaning, evaluation, inverted, lex
 from claimweave.plans import retrieval, verification, views
 from claimweave.scale import _range_keys, number_rows, with_row_index
 from claimweave.schema import SchemaMismatch, require_columns
-from claimweave.sources import tables
+from claimweave.sources import index_store, tables
 
 
 def rows(df, *columns):
@@ -283,6 +284,62 @@ def test_hot_terms_are_salted_without_changing_scores(spark, data, index):
     assert a == b
 
 
+def test_packed_lists_give_positions_and_counts_back():
+    lists = [([3, 700, 701, 8191], [1, 1, 1, 1]), ([0], [1]), ([0, 2], [1, 255]), ([5, 6, 9], [1, 256, 70_000])]
+    cuts = np.r_[0, np.cumsum([len(at) for at, _ in lists])]
+    at, tf = (np.concatenate([x[i] for x in lists]).astype("<u4") for i in (0, 1))
+    packed_at, packed_tf = inverted._packed(at, tf, cuts)
+    assert [len(x) for x in packed_tf.to_pylist()] == [0, 0, 2, 12]
+    table = inverted.pa.table({"at": packed_at, "tf": packed_tf, "n": np.diff(cuts)})
+    n = table.column("n").to_numpy()
+    assert inverted._positions(table.column("at"), n).tolist() == at.tolist()
+    assert inverted._counts(table.column("tf"), n).tolist() == tf.tolist()
+
+
+def test_index_stores_texts_once_and_no_weights(spark, data, index, tmp_path, monkeypatch):
+    assert "w" not in index.lists.columns
+    weights = rows(index.channel_postings("word"), "article_id", "term", F.round("w", 9))
+    total = index.channel_postings("char").groupBy("article_id").agg(F.round(F.sum(F.col("w") * F.col("w")), 9).alias("n"))
+    assert {r["n"] for r in total.collect()} == {1.0}
+    # a large vocabulary is joined by a shuffle, sums are passed on early, chunks are small
+    monkeypatch.setattr(inverted, "SMALL_VOCABULARY", 0)
+    monkeypatch.setattr(inverted, "HELD_SUMS", 10)
+    kept = spark.sparkContext.getCheckpointDir()
+    before = set(glob(f"{kept.removeprefix('file:')}/*/*counts*"))
+    path = str(tmp_path / "index")
+    index_store.save_index(views.articles(spark, data), views.article_vectors(spark, data), path, 3, chunk_chars=20_000)
+    again = index_store.load_index(spark, path)
+    assert rows(again.channel_postings("word"), "article_id", "term", F.round("w", 9)) == weights
+    assert set(glob(f"{kept.removeprefix('file:')}/*/*counts*")) == before
+    stored = spark.read.parquet(f"{path}/windows").columns
+    assert "entity_w" in stored and "event_w" not in stored and "fact_w" not in stored
+    assert rows(again.windows, "article_id", "event_w", "fact_w", "event_digits") == rows(
+        index_store.article_windows(views.articles(spark, data)), "article_id", "event_w", "fact_w", "event_digits")
+
+
+def test_reported_scores_are_those_of_single_postings(spark, data, index):
+    prepared = candidates.prepare_claims(views.claims(spark, data)).cache()
+    weights = candidates.claim_term_weights(prepared, index, "word", word_original="q_original", word_claim="q_claim")
+    plain = lexical.lexical_scores(weights, index.channel_postings("word"), ["word_original", "word_claim"], True)
+    names = ("word_original", "word_claim")
+    a, b = (rows(x, "claim_id", "article_id", *[F.round(n, 6) for n in names]) for x in (plain, candidates.word_scores(prepared, index)))
+    assert a and a == b
+    # single postings never cross a shuffle
+    plan = candidates.word_scores(prepared, index)._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInArrow" in plan and "SortMergeJoin [term" not in plan
+
+
+def test_claims_with_enough_articles_check_no_single_hits(spark, data, index):
+    prepared = candidates.prepare_claims(views.claims(spark, data)).cache()
+    whole = candidates.identity_candidates(prepared, index, 10**9).collect()
+    for limit in (1, 7):
+        best = {}
+        for r in sorted(whole, key=lambda r: (-r["hits"], r["article_id"])):
+            best.setdefault(r["claim_id"], []).append((r["claim_id"], r["article_id"], r["hits"]))
+        want = sorted(x for some in best.values() for x in some[:limit])
+        assert rows(candidates.identity_candidates(prepared, index, limit), "claim_id", "article_id", "hits") == want
+
+
 def test_retrieval_invariants(spark, data, index, monkeypatch):
     claims, claim_vectors = views.claims(spark, data), views.claim_vectors(spark, data)
     found = retrieval.retrieve(claims, claim_vectors, index).cache()
