@@ -198,6 +198,29 @@ def test_vector_topk_blocks(spark, data, monkeypatch):
         assert [a for query, _, a in small if query == q] == best
 
 
+def test_a_pair_of_blocks_holds_few_scores():
+    import tracemalloc
+
+    rng, n, m = np.random.default_rng(3), 2048, 10_000
+    pa = inverted.pa
+
+    def packed(values, kind):
+        return pa.array([values], pa.list_(kind))
+
+    asked, articles = rng.random((n, 8)), rng.random((m, 8)).astype("f4")
+    batch = pa.RecordBatch.from_arrays(
+        [packed(np.arange(n), pa.int64()), packed([None] * n, pa.int64()), packed(asked.ravel(), pa.float64()), packed(np.arange(m), pa.int64()),
+         packed(articles.ravel(), pa.float32())], ["queries", "excluded", "asked", "ids", "vectors"])
+    tracemalloc.start()
+    found = next(vectors._block_topk(3)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    scores = np.round(asked @ articles.astype("f8").T, 8)
+    want = [a for line in scores for a in np.lexsort((np.arange(m), -line))[:3].tolist()]
+    assert found.column("article_id").to_pylist() == want
+    assert peak < 60e6  # all scores at once are 164 MB, and twice that when rounded
+
+
 def test_identity_hits_equal_plain_search(spark, data, index):
     prepared = candidates.prepare_claims(views.claims(spark, data)).cache()
     a = rows(candidates.identity_hits(prepared, index), "claim_id", "article_id", "hits")

@@ -107,3 +107,13 @@ def test_json(spark):
     assert one(spark, 'so {"a": {"b": 2}} ok', jsontext.extract_json) == '{"a": {"b": 2}}'
     assert one(spark, "{broken", jsontext.extract_json) is None
     assert one(spark, None, jsontext.extract_json) is None
+
+
+def test_nfkc_check_skips_ascii_and_keeps_every_changing_character(spark):
+    import unicodedata
+
+    chars = [chr(i) for i in range(0x110000) if not 0xD800 <= i <= 0xDFFF and (i < 0x3400 or unicodedata.normalize("NFKC", chr(i)) != chr(i))]
+    df = spark.createDataFrame([(f"plain {c}x",) for c in chars], "t string")
+    got = df.select("t", text.nfkc(F.col("t")).alias("n"), text.may_change_under_nfkc(F.col("t")).alias("may")).collect()
+    assert all(r["n"] == unicodedata.normalize("NFKC", r["t"]) for r in got)
+    assert not any(r["may"] for r in got if r["t"].isascii())
