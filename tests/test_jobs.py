@@ -1,9 +1,11 @@
 import math
 import random
+import re
 from collections import Counter
 from glob import glob
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,6 +153,66 @@ def test_char_counts(spark):
     assert got == want
 
 
+def plain_terms(rows, channel):
+    out = {}
+    for key, text in rows:
+        text = (text or "").lower()
+        if channel == "char":
+            text = re.sub(r"\s{2,}", " ", text)
+            terms = [text[i : i + n] for n in (3, 4, 5) for i in range(len(text) - n + 1)]
+        else:
+            words = re.findall(r"\w{2,}", text)
+            terms = words + [" ".join(p) for p in zip(words, words[1:])]
+        for term in terms:
+            out[(key, term)] = out.get((key, term), 0) + 1
+    return out
+
+
+def odd_texts():
+    rng = random.Random(5)
+    words = ["the", "cat", "  ", "naïve", "\U0001f600", "日本語", "x", "\x00", "sat\n\non", "हिन"]
+    some = [(rng.choice([None, 1, 2, 3, 4, 5]), " ".join(rng.choices(words, k=rng.randrange(9)))) for _ in range(60)]
+    return some + [(6, "ab"), (7, ""), (8, None), (9, "cat \U0001f600 cat")]
+
+
+@pytest.mark.parametrize("chunk", [1, 40, 1 << 16])
+def test_term_lists_of_repeated_ids_and_odd_texts(spark, chunk):
+    data = odd_texts()
+    texts = lexical.dealt(spark.createDataFrame(data, "article_id bigint, search_text string"))
+    for channel in ("char", "word"):
+        if channel == "word":  # without combining marks, where Python's word differs
+            data = [(k, t and t.replace("हिन", "on")) for k, t in data]
+            texts = lexical.dealt(spark.createDataFrame(data, "article_id bigint, search_text string"))
+        lists = lexical.term_lists(texts, channel, chunk_chars=chunk).collect()
+        found = [((r.article_id, t), n) for r in lists for t, n in zip(r.terms, r.tfs)]
+        assert len(found) == len(dict(found)) and all(r.terms for r in lists)
+        assert dict(found) == plain_terms(data, channel)
+
+
+def test_runs_of_a_large_alphabet(monkeypatch):
+    monkeypatch.setattr(lexical, "KEY_LIMIT", 1)
+    texts = [" ".join((t or "").split()) for _, t in odd_texts()]
+    found = {}
+    for of, terms, tf in lexical.char_counts(texts, np.arange(len(texts))):
+        found |= {(o, t): n for o, t, n in zip(of.tolist(), terms.to_pylist(), tf.tolist())}
+    assert found == plain_terms(enumerate(texts), "char")
+
+
+def test_lists_have_a_largest_size(monkeypatch):
+    monkeypatch.setattr(lexical, "LIST_TERMS", 3)
+    (of, terms, tf), *_ = lexical.char_counts(["abcdefgh", "xyz"], np.arange(2))
+    rows = lexical._lists(pa.array([5, 6]), of, terms, tf).to_pylist()
+    assert [(r["key"], len(r["terms"])) for r in rows] == [(5, 3), (5, 3), (6, 1)]
+
+
+def test_postings_are_summed_without_a_row_each(spark, data):
+    from checks.registry import QUERIES
+
+    for name in ("index_char_postings", "index_word_postings"):
+        plan = QUERIES[name](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan, name
+
+
 def test_tfidf_and_cap(spark):
     counts = lexical.word_postings(tiny(spark))
     vocabulary = lexical.fit_vocabulary(counts, 5, "word")
