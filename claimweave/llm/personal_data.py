@@ -11,6 +11,11 @@ the rule of their kind. Other proposals are unlabelled: those less likely than a
 hidden among them join the negatives, the rest take no part. Probabilities are calibrated on
 held-back documents, and one threshold for all kinds is the lowest that is precise there.
 Picked proposals are added; base spans always stay.
+
+All examples of all texts train the trees. Equal examples are one row with a count; features fall into
+bins cut at quantiles of all their values, and a level of a tree is grown from sums of gradients per node,
+feature and bin. Sums are of whole numbers, so they are the same however the rows are dealt: by Spark, task by
+task, or in the driver once the distinct rows are few.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ import hashlib
 import re
 import zlib
 from bisect import bisect_left, insort
+from collections import Counter
 from dataclasses import dataclass, field
 from itertools import product
 
@@ -27,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm.tables import each_text, lean, read_table, unused
+from claimweave.llm.tables import each_text, lean, materialize, read_table, unused
 
 # Kinds in order, their patterns and limits.
 KINDS = ("email", "ip", "card", "phone")
@@ -51,15 +57,19 @@ _DOT = re.compile(r"\s?(?:\(dot\)|\[dot\]|\sdot\s|\.)\s?(?=[A-Za-z0-9-])")
 _AT = re.compile(r"\(at\)|\[at\]|\sat\s|@")
 _MORE = re.compile(r"[\x20./-]?[0-9]")
 
-# Training: documents sampled, proposals used at most, every how manieth positive is hidden among
-# the unlabelled ones and the share of these that may fall below the cut, the precision that the
-# threshold must have, and the least probability of a picked span.
-SAMPLE = 20_000
-PROPOSALS = 30_000
+# Training: every how manieth positive is hidden among the unlabelled ones and the share of these that
+# may fall below the cut, the precision that the threshold must have, and the least probability of a
+# picked span.
 SPIES = 7
 LOST = 0.05
 PRECISE = 0.98
 LIKELY = 0.9
+# Bins of a feature, parts of one in sums of gradients, steps of a score in counts of scores and their
+# bound, and the most distinct rows that are summed in the driver.
+BINS = 64
+PARTS = 1 << 20
+STEPS, BOUND = 1000, 30
+FEW_ROWS = 1 << 17
 
 
 def luhn(digits: str) -> bool:
@@ -159,7 +169,7 @@ def span_features(text: str, kind: str, a: int, z: int) -> list[float]:
 
 @dataclass
 class Trees:
-    """Boosted trees on one feature list; splits are (feature, value, left, right), leaves numbers."""
+    """Boosted trees on one feature list; splits are (feature, value or bin, left, right), leaves numbers."""
 
     base: float = 0.0
     trees: list = field(default_factory=list)
@@ -186,46 +196,156 @@ def _leaves(tree, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _grow(x: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int, rate: float):
-    """A regression tree on gradients and curvatures, splits at up to 24 quantiles."""
-    leaf = float(-rate * g.sum() / (h.sum() + 1))
-    if depth == 0 or len(x) < 8:
-        return leaf
-    best, where = 1e-6, None
-    whole = g.sum() ** 2 / (h.sum() + 1)
-    for f in range(x.shape[1]):
-        cuts = np.unique(np.quantile(x[:, f], np.linspace(0, 1, 25), method="lower"))[:-1]
-        for cut in cuts:
-            left = x[:, f] <= cut
-            gl, hl = g[left].sum(), h[left].sum()
-            gain = gl**2 / (hl + 1) + (g.sum() - gl) ** 2 / (h.sum() - hl + 1) - whole
-            if gain > best:
-                best, where = gain, (f, float(cut), left)
-    if where is None:
-        return leaf
-    f, cut, left = where
-    return (f, cut, _grow(x[left], g[left], h[left], depth - 1, rate), _grow(x[~left], g[~left], h[~left], depth - 1, rate))
-
-
-def boost(x: np.ndarray, y: np.ndarray, rounds: int = 30, depth: int = 3, rate: float = 0.3) -> Trees:
-    model = Trees(base=float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))))
-    raw = model.raw(x)
+def _edges(values: np.ndarray) -> np.ndarray:
+    """The largest whole number that begins with the same three digits and has as many."""
+    scale = np.ones_like(values)
+    for power in range(3, 10):
+        scale[values >= 10**power] = 10 ** (power - 2)
+    return (values // scale + 1) * scale - 1
+
+
+def _bins(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    """Number of cuts below each value."""
+    return np.stack([np.searchsorted(c, _edges(x[:, f])) for f, c in enumerate(cuts)], axis=1).astype(np.uint8)
+
+
+def _by_value(tree, cuts: list[np.ndarray]):
+    """A tree on bins as one on values."""
+    if isinstance(tree, float):
+        return tree
+    f, at, low, high = tree
+    return (f, float(cuts[f][at]), _by_value(low, cuts), _by_value(high, cuts))
+
+
+@dataclass
+class Examples:
+    """Distinct binned examples and their counts; how often they occur is summed in the driver or by Spark.
+
+    A block is (bins, mark, whether held back, whether a hidden positive, count). ``blocks`` holds all rows
+    of a small table, otherwise every sum is a pass over ``table``.
+    """
+
+    table: DataFrame
+    blocks: list | None = None
+
+    def total(self, measure, size: int) -> np.ndarray:
+        """Sum of the whole numbers ``measure`` makes of each block, ``size`` of them."""
+        if self.blocks is not None:
+            return sum((measure(*b) for b in self.blocks), np.zeros(size, np.int64))
+
+        def add(batches):
+            out = np.zeros(size, np.int64)
+            for batch in batches:
+                out += measure(*_block(batch))
+            at = np.flatnonzero(out)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(out[at])], ["at", "n"])
+
+        sums = self.table.mapInArrow(lean(add), "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+        out = np.zeros(size, np.int64)
+        out[sums["at"].to_numpy()] = sums["n"].to_numpy()
+        return out
+
+
+def _block(batch):
+    bins = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(-1, FEATURES)
+    mark, back, spy, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, 5))
+    return bins, mark, back, spy, n
+
+
+def _add(cells: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    """Sum of whole numbers per cell; exact below 2^53."""
+    return np.bincount(cells, n.astype(float), size).astype(np.int64)
+
+
+def _steps(raw: np.ndarray) -> np.ndarray:
+    """Scores as steps from the least one."""
+    return np.rint((np.clip(raw, -BOUND, BOUND) + BOUND) * STEPS).astype(np.int64)
+
+
+SCORES = 2 * BOUND * STEPS + 1
+
+
+def _node(tree, bins: np.ndarray) -> np.ndarray:
+    """Number of the open leaf, one that is still to be split, each row is in; -1 in closed ones."""
+    if not isinstance(tree, tuple):
+        return np.full(len(bins), tree if isinstance(tree, int) else -1)
+    f, at, low, high = tree
+    left = bins[:, f] <= at
+    out = np.empty(len(bins), np.int64)
+    out[left], out[~left] = _node(low, bins[left]), _node(high, bins[~left])
+    return out
+
+
+def _put(tree, leaves: dict):
+    """A tree with its open leaves replaced."""
+    if isinstance(tree, tuple):
+        return (*tree[:2], _put(tree[2], leaves), _put(tree[3], leaves))
+    return leaves[tree] if isinstance(tree, int) else tree
+
+
+def _split(g: np.ndarray, h: np.ndarray, n: np.ndarray):
+    """The best (feature, bin) of a node by its sums per feature and bin, None if none gains."""
+    if n[0].sum() < 8:
+        return None
+    gl, hl, nl = (np.cumsum(a, axis=1) for a in (g, h, n))
+    whole_g, whole_h, whole_n = gl[:, -1:], hl[:, -1:], nl[:, -1:]
+    gain = gl**2 / (hl + 1) + (whole_g - gl) ** 2 / (whole_h - hl + 1) - whole_g**2 / (whole_h + 1)
+    gain[(nl == 0) | (nl == whole_n)] = 0
+    best = int(np.argmax(gain))
+    return divmod(best, BINS) if gain.flat[best] > 1e-6 else None
+
+
+def boost(examples: Examples, target, base: float, rounds: int = 30, depth: int = 3, rate: float = 0.3) -> Trees:
+    """Trees on bins, one pass over the examples per level. ``target`` makes (y, whether used) of a block."""
+    model = Trees(base=base)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-raw))
-        tree = _grow(x, p - y, p * (1 - p), depth, rate)
+        tree, leaves = 0, 1  # open leaves are whole numbers
+        for level in range(depth):
+            shape = (leaves, FEATURES, BINS)
+
+            def sums(bins, mark, back, spy, n, tree=tree, cells=leaves * FEATURES * BINS):
+                y, used = target(bins, mark, back, spy)
+                node = _node(tree, bins)
+                used = used & (node >= 0)
+                bins, y, n, node = bins[used], y[used], n[used], node[used]
+                p = 1 / (1 + np.exp(-model.raw(bins)))
+                at = ((node[:, None] * FEATURES + np.arange(FEATURES)) * BINS + bins).ravel()
+                parts = [np.rint((p - y) * PARTS) * n, np.rint(p * (1 - p) * PARTS) * n, n]
+                return np.concatenate([_add(at, np.repeat(w, FEATURES), cells) for w in parts])
+
+            found = examples.total(sums, 3 * leaves * FEATURES * BINS).reshape(3, *shape)
+            g, h, n = found[0] / PARTS, found[1] / PARTS, found[2]
+            grown, leaves = {}, 0
+            for i in range(shape[0]):
+                whole = float(-rate * g[i, 0].sum() / (h[i, 0].sum() + 1))
+                best = _split(g[i], h[i], n[i])
+                if best is None:
+                    grown[i] = whole
+                elif level + 1 < depth:
+                    grown[i] = (*best, leaves, leaves + 1)
+                    leaves += 2
+                else:
+                    f, at = best
+                    sides = [(g[i, f, s].sum(), h[i, f, s].sum()) for s in (slice(0, at + 1), slice(at + 1, None))]
+                    grown[i] = (f, at, *(float(-rate * gs / (hs + 1)) for gs, hs in sides))
+            tree = _put(tree, grown)
+            if not leaves:
+                break
         model.trees.append(tree)
-        raw += _leaves(tree, x)
     return model
 
 
-def calibrate(model: Trees, x: np.ndarray, y: np.ndarray) -> None:
-    """Fits probability = sigmoid(slope * raw + shift) by Newton steps, targets softened by counts."""
-    raw, a, b = model.raw(x), 1.0, 0.0
-    positive, negative = y.sum(), len(y) - y.sum()
-    target = np.where(y == 1, (positive + 1) / (positive + 2), 1 / (negative + 2))
+def calibrate(model: Trees, raw: np.ndarray, good: np.ndarray, bad: np.ndarray) -> None:
+    """Fits probability = sigmoid(slope * raw + shift) by Newton steps, targets softened by counts.
+
+    ``good`` and ``bad`` count the positives and negatives of each score.
+    """
+    a, b, n = 1.0, 0.0, good + bad
+    positive, negative = good.sum(), bad.sum()
+    target = good * ((positive + 1) / (positive + 2)) + bad * (1 / (negative + 2))
     for _ in range(100):  # held near slope 1 and shift 0, as separable examples have no best slope
         p = 1 / (1 + np.exp(-np.clip(a * raw + b, -30, 30)))
-        d, w = p - target, p * (1 - p)
+        d, w = n * p - target, n * p * (1 - p)
         step = np.linalg.solve(
             np.array([[(w * raw * raw).sum() + 1, (w * raw).sum()], [(w * raw).sum(), w.sum() + 1]]),
             np.array([(d * raw).sum() + a - 1, d.sum() + b]),
@@ -350,76 +470,166 @@ def marked(text: str) -> list[tuple[list[float], int]]:
 
 
 def examples(documents: DataFrame) -> DataFrame:
-    """(features, mark, fold) of all examples of the texts. Fold 0 is held back for calibration."""
+    """(features, mark, back, spy, n): the distinct examples of all texts and how often they occur.
+
+    The examples of a fifth of the texts are held back for calibration; a seventh of the positives are hidden
+    among the unlabelled ones.
+    """
+    names = ["features", "mark", "back", "spy", "n"]
 
     def collect(batches):
         for batch in batches:
-            rows, marks, folds = [], [], []
+            found = Counter()
             for fold, text in zip(batch.column(0).to_pylist(), each_text(batch.column(1))):
+                draw = zlib.crc32((text or "").encode("utf-8", "replace"))
                 for features, mark in marked(text or ""):
-                    rows.append(features)
-                    marks.append(mark)
-                    folds.append(fold)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.list_(pa.float64())), pa.array(marks, pa.int32()), pa.array(folds, pa.int32())],
-                ["features", "mark", "fold"],
-            )
+                    draw += mark == POSITIVE
+                    found[(*map(int, features), mark, fold == 0, mark == POSITIVE and draw % SPIES == 0)] += 1
+            rows = list(found)
+            columns = [[r[:FEATURES] for r in rows], *([r[FEATURES + i] for r in rows] for i in range(3)), list(found.values())]
+            kinds = [pa.list_(pa.int32()), pa.int32(), pa.bool_(), pa.bool_(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     dealt = documents.select(F.pmod(F.xxhash64("text"), F.lit(5)).cast("int").alias("fold"), "text")
-    return dealt.mapInArrow(lean(collect), "features array<double>, mark int, fold int")
+    found = dealt.mapInArrow(lean(collect), "features array<int>, mark int, back boolean, spy boolean, n bigint")
+    return found.groupBy(*names[:4]).agg(F.sum("n").alias("n"))
+
+
+def _matrix(column) -> np.ndarray:
+    return column.flatten().to_numpy().astype(np.int64).reshape(-1, FEATURES)
+
+
+def feature_cuts(found: DataFrame) -> list[np.ndarray]:
+    """Cuts of each feature at quantiles of all its values, or at every value of one with few.
+
+    Values count by their first three digits, so there are few whatever the number of examples.
+    """
+
+    def count(batches):
+        for batch in batches:
+            x, n = _edges(_matrix(batch.column(0))), batch.column(1).to_numpy()
+            for f in range(FEATURES if len(x) else 0):
+                value, at = np.unique(x[:, f], return_inverse=True)
+                columns = [pa.array(np.full(len(value), f)), pa.array(value), pa.array(_add(at, n, len(value)))]
+                yield pa.RecordBatch.from_arrays(columns, ["f", "value", "n"])
+
+    rows = found.select("features", "n").mapInArrow(lean(count), "f bigint, value bigint, n bigint")
+    counts = rows.groupBy("f", "value").agg(F.sum("n").alias("n")).toPandas()
+    out = []
+    for f in range(FEATURES):
+        own = counts[counts.f == f].sort_values("value")
+        value, upto = own.value.to_numpy(), np.cumsum(own.n.to_numpy())
+        if len(value) > BINS:
+            at = np.linspace(0, 1, BINS + 1) * (upto[-1] - 1)
+            value = np.unique(np.r_[value[np.searchsorted(upto, at.astype(np.int64), side="right")], value[-1]])[-BINS:]
+        out.append(value[:-1])
+    return out
+
+
+def binned(found: DataFrame, cuts: list[np.ndarray]) -> Examples:
+    """The distinct examples by their bins."""
+
+    def cut(batches):
+        for batch in batches:
+            bins = [row.tobytes() for row in _bins(_matrix(batch.column(0)), cuts)] if batch.num_rows else []
+            yield pa.RecordBatch.from_arrays([pa.array(bins, pa.binary()), *batch.columns[1:]], ["bins", "mark", "back", "spy", "n"])
 
+    rows = found.mapInArrow(lean(cut), "bins binary, mark int, back boolean, spy boolean, n bigint")
+    table = materialize(rows.groupBy("bins", "mark", "back", "spy").agg(F.sum("n").alias("n")), "examples")
+    few = table.count() <= FEW_ROWS
+    return Examples(table, [_block(b) for b in table.toArrow().to_batches()] if few else None)
 
-def unlikely(x: np.ndarray, mark: np.ndarray, train: np.ndarray) -> np.ndarray:
-    """Which unlabelled examples score below almost all positives hidden among them."""
-    positives = np.flatnonzero(train & (mark == POSITIVE))
-    spies = positives[::SPIES]
-    if len(positives) < 2 * SPIES or not (mark == UNLABELLED).any():
-        return np.zeros(len(x), bool)
-    y = (mark == POSITIVE).astype(float)
-    y[spies] = 0
-    score = boost(x[train], y[train], rounds=15).raw(x)
-    return (mark == UNLABELLED) & (score < np.quantile(score[spies], LOST, method="lower"))
+
+def _log_odds(positive: int, negative: int) -> float:
+    mean = positive / max(positive + negative, 1)
+    return float(np.log((mean + 1e-3) / (1 - mean + 1e-3)))
+
+
+def unlikely(found: Examples, whole: bool) -> tuple[Trees, int] | None:
+    """Trees and the score, in steps, that almost all positives hidden among the unlabelled examples reach."""
+
+    def target(bins, mark, back, spy):
+        return ((mark == POSITIVE) & ~spy).astype(float), whole | ~back
+
+    def sides(bins, mark, back, spy, n):
+        return _add(np.where(spy, 2, mark == POSITIVE)[whole | ~back], n[whole | ~back], 3)
+
+    negative, positive, hidden = map(int, found.total(sides, 3))
+    if positive + hidden < 2 * SPIES or not hidden:
+        return None
+    trees = boost(found, target, _log_odds(positive, negative + hidden), rounds=15)
+
+    def scores(bins, mark, back, spy, n):
+        spy = spy & (whole | ~back)
+        return _add(_steps(trees.raw(bins[spy])), n[spy], SCORES)
+
+    spies = np.cumsum(found.total(scores, SCORES))
+    return trees, int(np.searchsorted(spies, int((spies[-1] - 1) * LOST), side="right"))
 
 
 def fit(documents: DataFrame) -> Picker:
-    """Trains on the texts of smallest hash, at most ``SAMPLE`` of them.
+    """Trains on all examples of all texts.
 
     A table with too few examples to hold some back is calibrated on those it is trained on; one
     without base spans has nothing to learn from and gets no further ones.
     """
-    cut = documents.select(F.xxhash64(F.lit(9), "doc_id").alias("h")).orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
-    if cut is None:
+    found = materialize(examples(documents), "marked")
+    if found.isEmpty():
         return Picker()
-    chosen = documents.where(F.xxhash64(F.lit(9), "doc_id") <= cut).select("text")
-    found = examples(chosen).orderBy(F.xxhash64("features"), "fold", "mark").limit(PROPOSALS).toArrow()
-    if not found.num_rows:
+    cuts = feature_cuts(found)
+    return learn(binned(found, cuts), cuts)
+
+
+def learn(found: Examples, cuts: list[np.ndarray]) -> Picker:
+    """Trees, calibration and the threshold."""
+
+    def count(bins, mark, back, spy, n):
+        return _add(mark + 3 * back, n, 6)
+
+    marks = found.total(count, 6).reshape(2, 3)
+    whole = not (marks[:, [POSITIVE, NEGATIVE]] > 0).all()
+    if not marks[:, POSITIVE].any():
         return Picker()
-    x = found["features"].combine_chunks().flatten().to_numpy().reshape(-1, FEATURES)
-    return learn(x, found["mark"].to_numpy(), found["fold"].to_numpy() == 0)
-
-
-def learn(x: np.ndarray, mark: np.ndarray, back: np.ndarray) -> Picker:
-    """Trees, calibration and the threshold from marked examples, ``back`` being held back."""
-    sides = (mark[back], mark[~back])
-    train = ~back
-    if not all((side == m).any() for side in sides for m in (POSITIVE, NEGATIVE)):
-        train = back = np.ones(len(x), bool)
-    negative = (mark == NEGATIVE) | unlikely(x, mark, train)
-    y, used = (mark == POSITIVE).astype(float), (mark == POSITIVE) | negative
-    if not y.any() or not negative.any():
+    cut = unlikely(found, whole) if marks[:, UNLABELLED].any() else None
+
+    def target(bins, mark, back, spy, side=False):
+        """Whether positive, and whether used on this side."""
+        y, bad = mark == POSITIVE, mark == NEGATIVE
+        rest = np.flatnonzero(mark == UNLABELLED)
+        if cut is not None and len(rest):
+            bad[rest] = _steps(cut[0].raw(bins[rest])) < cut[1]
+        return y.astype(float), (y | bad) & (whole | (back == side))
+
+    def used(bins, mark, back, spy, n):
+        y, use = target(bins, mark, back, spy)
+        return _add(y[use].astype(int), n[use], 2)
+
+    negative, positive = map(int, found.total(used, 2))
+    if not negative:
         return Picker()
-    trees = boost(x[train & used], y[train & used])
-    calibrate(trees, x[back & used], y[back & used])
-    p, ys = trees.probability(x[back & used]), y[back & used]
-    order = np.argsort(-p, kind="stable")
-    p, ys = p[order], ys[order]
-    precise = np.flatnonzero((np.cumsum(ys) / np.arange(1, len(ys) + 1) >= PRECISE) & (p >= LIKELY))
+    trees = boost(found, target, _log_odds(positive, negative))
+
+    def scores(bins, mark, back, spy, n):
+        y, use = target(bins, mark, back, spy, side=True)
+        return _add(_steps(trees.raw(bins[use])) + SCORES * y[use].astype(int), n[use], 2 * SCORES)
+
+    bad, good = found.total(scores, 2 * SCORES).reshape(2, SCORES)
+    at = np.flatnonzero(bad + good)[::-1]  # most likely first
+    raw, bad, good = at / STEPS - BOUND, bad[at], good[at]
+    calibrate(trees, raw, good, bad)
+
+    def probability(raw):
+        return 1 / (1 + np.exp(-np.clip(trees.slope * raw + trees.shift, -30, 30)))
+
+    p = probability(raw)
+    precise = np.flatnonzero((np.cumsum(good) / np.cumsum(good + bad) >= PRECISE) & (p >= LIKELY))
     threshold = 2.0
     if len(precise):
-        # The lowest one as precise: down to the next less likely example, or to LIKELY.
+        # The lowest one as precise: down to the next less likely score, or to LIKELY.
         last = precise[-1]
         lower = p[last + 1] if last + 1 < len(p) else 0.0
-        threshold = LIKELY if lower < LIKELY else float(p[last])
+        threshold = LIKELY if lower < LIKELY else float(probability(raw[last] - 0.5 / STEPS))
+    trees.trees = [_by_value(tree, cuts) for tree in trees.trees]
     return Picker(trees, dict.fromkeys(KINDS, threshold))
 
 

@@ -351,6 +351,48 @@ def test_picks_hidden_spans_and_keeps_base_ones(spark):
     assert personal_data.find(nothing, personal_data.fit(nothing)).count() == 0
 
 
+def test_every_text_is_learned_from(spark):
+    # The base spans lie only in the texts whose ids hash highest, behind 20,000 others.
+    rng = random.Random(4)
+    spans = [f"pay {card(rng)} now" for _ in range(60)] + [f"number {rng.randrange(10**15, 10**16)} is none" for _ in range(60)]
+    order = spark.range(20_200).orderBy(F.desc(F.xxhash64(F.lit(9), "id"))).limit(len(spans)).collect()
+    held = spark.createDataFrame([(r.id, t) for r, t in zip(order, spans)], "id bigint, held string")
+    texts = spark.range(20_200).join(held, "id", "left")
+    df = texts.select(F.col("id").alias("doc_id"), F.coalesce("held", F.lit("plain words")).alias("text"))
+    picker = personal_data.fit(df)
+    assert picker.trees is not None
+    text = f"ref 12 {card(rng)} end"
+    assert picker.added(text, personal_data.base_spans(text)) == [("card", 7, 23)]
+
+
+def test_trees_are_the_same_by_spark_and_in_the_driver(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = [f"pay {card(rng)} now, call +1 (609) 555-{i:04d}" for i in range(40)] + [f"on 2020-11-12 1{i % 10} it was 1.{i}.3.9.4" for i in range(40)]
+    df = frame(spark, [(i, t, "s") for i, t in enumerate([*texts, *texts[:5], None, ""])])
+    found = personal_data.examples(df)
+    cuts = personal_data.feature_cuts(found)
+    one = personal_data.binned(found, cuts)
+    monkeypatch.setattr(personal_data, "FEW_ROWS", 0)
+    passes = personal_data.binned(found.repartition(5), cuts)
+    assert one.blocks and passes.blocks is None
+    rounds = personal_data.boost
+    monkeypatch.setattr(personal_data, "boost", lambda *a, **k: rounds(*a, **k | {"rounds": 3}))
+    picker = personal_data.learn(one, cuts)
+    assert len(picker.trees.trees) == 3 and picker == personal_data.learn(passes, cuts)
+    # equal texts count as often as they occur
+    assert found.agg(F.sum("n")).first()[0] == sum(len(personal_data.marked(t)) for t in [*texts, *texts[:5]])
+
+
+def test_bins_keep_the_order_of_values():
+    values = np.array([0, 1, 255, 999, 1000, 1009, 1010, 9999, 10_000, 10_099, 10_100, 999_999])
+    edges = personal_data._edges(values)
+    assert edges.tolist() == [0, 1, 255, 999, 1009, 1009, 1019, 9999, 10_099, 10_099, 10_199, 999_999]
+    cuts = [np.array([1, 1009, 10_099])] * personal_data.FEATURES
+    bins = personal_data._bins(np.repeat(values[:, None], personal_data.FEATURES, 1), cuts)[:, 0]
+    for at, cut in enumerate(cuts[0]):
+        assert ((bins <= at) == (values <= cut)).all()
+
+
 # --- quality --------------------------------------------------------------------------------
 
 
