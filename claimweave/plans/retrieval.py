@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimweave.operators import candidates, signals
+from claimweave.operators import candidates, signals, term_search
 from claimweave.operators.candidates import Depths
 from claimweave.scale import materialize
 from claimweave.sources.index_store import SearchIndex
@@ -38,9 +38,8 @@ def score_claims(
     scored = candidates.normalize_pool(candidates.score_pool(pool, claim_vectors, index))
     claim_side = prepared.select("claim_id", "exclude_article_id", *signals.CLAIM_ARRAYS)
     kept = candidates.exclude_source(scored.join(claim_side.select("claim_id", "exclude_article_id"), "claim_id"))
-    with_text = candidates.attach_by_article(kept, index.windows)
-    pairs = with_text.join(claim_side.drop("exclude_article_id"), "claim_id")
-    return signals.score_candidates(signals.add_signals(pairs))
+    found = term_search.with_found_terms(kept, index.windows, claim_side)
+    return signals.score_candidates(signals.add_signals(found))
 
 
 def rank_candidates(scored: DataFrame, k: int = 12) -> DataFrame:
